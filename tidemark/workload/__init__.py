@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.workload import catalog
+from tidemark.workload import catalog, decisions
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for _module in (catalog,):
+for _module in (catalog, decisions):
     QUERIES.update(_module.REGISTRY.queries)
     ORACLE.update(_module.REGISTRY.sql)
