@@ -95,7 +95,7 @@ def quantiles(
     )
 
 
-def numbered(df: DataFrame, by: Sequence[str], key: Column, name: str = "number", ranges: int = 1024) -> DataFrame:
+def numbered(df: DataFrame, by: Sequence[str], key: Column, name: str = "number", ranges: int = 4096) -> DataFrame:
     """0-based row numbers within each group, in an order drawn from a hash of ``key``.
 
     A group is cut into ranges of the hash; rows are numbered inside a range and

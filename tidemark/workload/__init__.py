@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.workload import catalog, decisions
+from tidemark.workload import catalog, decisions, loading
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for _module in (catalog, decisions):
+for _module in (catalog, decisions, loading):
     QUERIES.update(_module.REGISTRY.queries)
     ORACLE.update(_module.REGISTRY.sql)
