@@ -135,7 +135,11 @@ def venue_table(events: DataFrame) -> DataFrame:
 
 
 def parse_events(raw: DataFrame) -> dict[str, DataFrame]:
-    events = clean_events(raw)
+    return event_tables(clean_events(raw))
+
+
+def event_tables(events: DataFrame) -> dict[str, DataFrame]:
+    """The five event tables of cleaned events."""
     return {
         "events_df": events_table(events),
         "events_perf": event_performers(events),
@@ -179,8 +183,16 @@ def split_table(listings: DataFrame) -> DataFrame:
     return rows.withColumn("date_accessed", snapshot_text(F.col("snapshot_date")))
 
 
+def clean_listings(raw: DataFrame) -> DataFrame:
+    return first_copies(raw, "listingId")
+
+
 def parse_listings(raw: DataFrame) -> dict[str, DataFrame]:
-    listings = first_copies(raw, "listingId")
+    return listing_tables(clean_listings(raw))
+
+
+def listing_tables(listings: DataFrame) -> dict[str, DataFrame]:
+    """The five listing tables of listings without copies."""
     return {
         "tickets_df": listings_table(listings),
         "tickets_deliv_type": explode_list(listings, "deliveryTypeList", "listings_deliv_type"),

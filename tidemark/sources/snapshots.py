@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
-from tidemark.operators.parse import parse_events, parse_listings
+from tidemark.operators.parse import clean_events, clean_listings, event_tables, listing_tables
+from tidemark.session import stage_table
 from tidemark.sources.raw import read_events_json, read_listings_json
 
 
@@ -35,9 +36,15 @@ def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def backfill(spark: SparkSession, raw_root: str, root: str, dates: Sequence[dt.date]) -> None:
-    """Parses stored raw days again, all days in one job per table."""
-    write_snapshot(parse_events(read_events_json(spark, raw_root, dates)), root)
-    write_snapshot(parse_listings(read_listings_json(spark, raw_root, dates)), root)
+    """Parses stored raw days again, all days in one job per table.
+
+    The text is parsed and its copies removed once; the five tables of each
+    kind read their columns from that staged result.
+    """
+    events = stage_table(clean_events(read_events_json(spark, raw_root, dates)), "events")
+    write_snapshot(event_tables(events), root)
+    listings = stage_table(clean_listings(read_listings_json(spark, raw_root, dates)), "listings")
+    write_snapshot(listing_tables(listings), root)
 
 
 def read_table_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:

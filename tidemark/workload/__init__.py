@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.workload import catalog, decisions, loading
+from tidemark.workload import catalog, decisions, loading, modelling, relational
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for _module in (catalog, decisions, loading):
+for _module in (catalog, relational, loading, decisions, modelling):
     QUERIES.update(_module.REGISTRY.queries)
     ORACLE.update(_module.REGISTRY.sql)
