@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SNAPSHOT_PATTERN = "yyyy_MM_dd"
@@ -16,6 +16,16 @@ def snapshot_text(day: Column) -> Column:
     return F.date_format(day, SNAPSHOT_PATTERN)
 
 
+def snapshot_day(df: DataFrame) -> Column:
+    """Snapshot day of a table: the folder column where there is one, else its text.
+
+    The folder column needs no parsing and lets the scan skip days.
+    """
+    if "snapshot_date" in df.columns:
+        return F.col("snapshot_date")
+    return snapshot_date(F.col("date_accessed"))
+
+
 def local_date(text: Column) -> Column:
     """Day of a local timestamp text; whatever follows the day is ignored."""
     return F.to_date(F.substring(text, 1, 10))

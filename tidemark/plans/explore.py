@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.binning import edge_bin, equal_width_bin, spread_bounds
-from tidemark.functions.dates import local_date, snapshot_date
+from tidemark.functions.dates import local_date, snapshot_day
 from tidemark.functions.text import wordless_to
 from tidemark.operators.keyed import count_over, top_levels
 
@@ -23,7 +23,7 @@ def with_listing(labels: DataFrame, listings: DataFrame, *columns: str) -> DataF
     Joined on ``listing_id, date`` as the label itself is, so the label side
     keeps its partitioning and only the listings move.
     """
-    side = listings.select("listing_id", snapshot_date(F.col("date_accessed")).alias("date"), *columns)
+    side = listings.select("listing_id", snapshot_day(listings).alias("date"), *columns)
     return labels.join(side, ["listing_id", "date"])
 
 
@@ -144,10 +144,11 @@ def observations_per_event(splits: DataFrame, listings: DataFrame) -> DataFrame:
     Split rows are counted per listing and day first, so the join sees one row
     per listing and day.
     """
-    per_listing = splits.groupBy("listing_id", "date_accessed").agg(F.count(F.lit(1)).alias("obs"))
+    day = snapshot_day(splits).alias("date")
+    per_listing = splits.groupBy("listing_id", day).agg(F.count(F.lit(1)).alias("obs"))
     return (
-        listings.select("listing_id", "date_accessed", "event_id")
-        .join(per_listing, ["listing_id", "date_accessed"])
+        listings.select("listing_id", snapshot_day(listings).alias("date"), "event_id")
+        .join(per_listing, ["listing_id", "date"])
         .groupBy("event_id", "listing_id")
         .agg(F.sum("obs").alias("obs"))
         .groupBy("event_id")

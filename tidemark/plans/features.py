@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, Transformer
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     CountVectorizerModel,
     OneHotEncoder,
@@ -16,10 +16,11 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import day_of_week, days_until, local_date, snapshot_date
+from tidemark.functions.dates import day_of_week, days_until, local_date, snapshot_day, snapshot_text
 from tidemark.functions.text import clean_level, empty_to, level_text
 from tidemark.operators.keyed import top_levels
 from tidemark.plans.explore import performer_counts, with_listing
+from tidemark.session import stage_table
 
 OTHER = "0"
 
@@ -30,14 +31,14 @@ def date_features(events: DataFrame, listings: DataFrame) -> DataFrame:
     Listings shrink to their event days before the join, so an event with many
     listings costs no more than one with few.
     """
-    seen = listings.select("event_id", "date_accessed").distinct()
-    snapshot = snapshot_date(F.col("date_accessed"))
+    seen = listings.select("event_id", snapshot_day(listings).alias("date")).distinct()
+    snapshot = F.col("date")
     show = local_date(F.col("eventdatelocal"))
     return (
         seen.join(events.select("event_id", "eventdatelocal").distinct(), "event_id")
         .select(
             "event_id",
-            "date_accessed",
+            snapshot_text(snapshot).alias("date_accessed"),
             days_until(show, snapshot).alias("days_until_show"),
             day_of_week(snapshot).alias("dow_listing_avail"),
             day_of_week(show).alias("dow_show"),
@@ -172,30 +173,35 @@ def temporal_holdout(df: DataFrame, date: str = "date") -> tuple[DataFrame, Data
 
 @dataclass
 class OneHot:
-    """Vector column with a slot per level but the first, and the names of the slots."""
+    """Fitted encoding: vector columns it adds and the name of every slot, in order."""
 
-    model: Transformer
-    column: str
+    model: PipelineModel
+    columns: list[str]
     names: list[str]
 
 
-def one_hot(df: DataFrame, column: str, drop_first: bool = True, output: str | None = None) -> OneHot:
-    """Fit an encoding on every level of ``df``; NULL encodes as all zeros."""
-    output = output or f"{column}_vec"
-    index, full = f"{column}_idx", f"{column}_all"
+def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = True) -> OneHot:
+    """Encoding of the levels found in ``df``, all columns fitted in one pass.
+
+    The first level in text order is the baseline and has no slot; NULL and
+    levels not seen encode as all zeros.
+    """
+    index = [f"{c}_idx" for c in columns]
+    full = [f"{c}_all" for c in columns]
     indexer = StringIndexer(
-        inputCol=column, outputCol=index, stringOrderType="alphabetAsc", handleInvalid="keep"
-    )
-    fitted = indexer.fit(df)
-    levels = list(fitted.labels)
+        inputCols=list(columns), outputCols=index, stringOrderType="alphabetAsc", handleInvalid="keep"
+    ).fit(df)
+    # The encoder drops the last slot, which is the one for NULL and unseen levels.
+    stages = [indexer, OneHotEncoder(inputCols=index, outputCols=full, dropLast=True)]
     skip = 1 if drop_first else 0
-    # The last slot, dropped by the encoder, is the one for NULL and unseen levels.
-    encoder = OneHotEncoder(inputCol=index, outputCol=full, dropLast=True)
-    stages = [fitted, encoder]
-    names = [f"{column}_{level}" for level in levels[skip:]]
-    if names:
-        stages.append(VectorSlicer(inputCol=full, outputCol=output, indices=list(range(skip, len(levels)))))
-    return OneHot(Pipeline(stages=stages).fit(df), output, names)
+    outputs, names = [], []
+    for column, levels, vector in zip(columns, indexer.labelsArray, full):
+        kept = list(range(skip, len(levels)))
+        if kept:
+            stages.append(VectorSlicer(inputCol=vector, outputCol=f"{column}_vec", indices=kept))
+            outputs.append(f"{column}_vec")
+            names += [f"{column}_{levels[i]}" for i in kept]
+    return OneHot(Pipeline(stages=stages).fit(df), outputs, names)
 
 
 @dataclass
@@ -273,8 +279,12 @@ def feature_matrix(
     ``levels_from='all'`` takes category levels from both parts of the split,
     ``'train'`` from the rows before the last day only.  ``options`` are those of
     :func:`prepared_rows`.
+
+    The base table is read once per lumped column and the prepared rows once per
+    fit and per model, so both are written to the shared folder instead of being
+    joined together again each time.
     """
-    df, text = prepared_rows(main, **options)
+    df, text = prepared_rows(stage_table(main, "main"), **options)
     numeric, vectors, names = list(NUMERIC), [], list(NUMERIC)
     if performers is not None:
         hot, slots = performer_multihot(performers, max_perf, perf_min_events)
@@ -285,14 +295,11 @@ def feature_matrix(
             df = multihot_vector(df, "performer_levels", slots, "performer_vec")
             vectors.append("performer_vec")
             names += [f"performer_id_{s}" for s in slots]
-    df = df.withColumns({c: F.col(c).cast("double") for c in numeric})
-    fit_on = df if levels_from == "all" else temporal_holdout(df)[0]
-    for column in text:
-        encoding = one_hot(fit_on, column)
-        df = encoding.model.transform(df)
-        if encoding.names:
-            vectors.append(encoding.column)
-            names += encoding.names
+    df = stage_table(df.withColumns({c: F.col(c).cast("double") for c in numeric}), "prepared")
+    encoding = one_hot(df if levels_from == "all" else temporal_holdout(df)[0], text)
+    df = encoding.model.transform(df)
+    vectors += encoding.columns
+    names += encoding.names
     assembler = VectorAssembler(
         inputCols=numeric + vectors, outputCol="features", handleInvalid=handle_invalid
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import snapshot_date, snapshot_text
+from tidemark.functions.dates import snapshot_day, snapshot_text
 from tidemark.operators.keyed import later_flags
 
 # Names that mark general admission and parking.
@@ -44,10 +44,8 @@ def reserved_seats(listings: DataFrame) -> DataFrame:
 
 def observed_next_day(listings: DataFrame, summary: DataFrame) -> DataFrame:
     """``listing_id, date`` of listings whose event was seen again on the following day."""
-    day = listings.select("listing_id", "event_id", snapshot_date(F.col("date_accessed")).alias("date"))
-    seen = summary.select(
-        "event_id", F.date_sub(snapshot_date(F.col("date_accessed")), 1).alias("date")
-    )
+    day = listings.select("listing_id", "event_id", snapshot_day(listings).alias("date"))
+    seen = summary.select("event_id", F.date_sub(snapshot_day(summary), 1).alias("date"))
     return day.join(seen, ["event_id", "date"]).select("listing_id", "date")
 
 
@@ -58,9 +56,7 @@ def response_label(splits: DataFrame, listings: DataFrame, summary: DataFrame) -
     known about them.  The joins with listings and summary come first, on
     listing level, so that the wider split level joins only once.
     """
-    dated = splits.select(
-        "listing_id", "ticket_splits_option", snapshot_date(F.col("date_accessed")).alias("date")
-    )
+    dated = splits.select("listing_id", "ticket_splits_option", snapshot_day(splits).alias("date"))
     flags = later_flags(dated, ["listing_id", "ticket_splits_option"], "date")
     return flags.join(
         observed_next_day(reserved_seats(listings), summary), ["listing_id", "date"]

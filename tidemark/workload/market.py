@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.dates import snapshot_text
 
@@ -20,9 +21,14 @@ class Market:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._schemas: dict[str, StructType] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A table of the folder; its footer is read once per query, not once per mention."""
+        path = f"{self.folder}/{name}.parquet"
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     @property
     def sightings(self) -> DataFrame:
@@ -37,26 +43,25 @@ class Market:
             .when(kind == "signup", 6)
             .otherwise(8)
             .alias("ticket_splits_option"),
-            snapshot_text(F.col("ts")).alias("date_accessed"),
+            F.to_date("ts").alias("snapshot_date"),
             "value",
             F.get_json_object("props", "$.k").cast("int").alias("k"),
-            kind.alias("kind"),
         )
 
     @property
     def splits(self) -> DataFrame:
-        return self.sightings.select("listing_id", "ticket_splits_option", "date_accessed").distinct()
+        return self.sightings.select("listing_id", "ticket_splits_option", "snapshot_date").distinct()
 
     @property
     def listings(self) -> DataFrame:
         k, price = F.max("k"), F.max("value")
-        return self.sightings.groupBy("listing_id", "event_id", "date_accessed").agg(
+        rows = self.sightings.groupBy("listing_id", "event_id", "snapshot_date").agg(
             price.alias("price_curr"),
             F.count(F.lit(1)).cast("int").alias("quantity"),
             (F.min("k") < 5).alias("is_ga"),
             F.when(price < 1, F.lit("PARKING PASS"))
             .when(price < 2, F.lit(None))
-            .otherwise(F.concat(F.lit("Section "), F.min("kind")))
+            .otherwise(F.concat(F.lit("Section "), F.min("ticket_splits_option").cast("string")))
             .alias("section_name"),
             F.when(k < 10, F.lit("General Admission"))
             .when(k < 25, F.lit(""))
@@ -69,16 +74,18 @@ class Market:
             .otherwise(F.lit("False"))
             .alias("dirty_ticket_ind"),
         )
+        return with_text(rows)
 
     @property
     def summary(self) -> DataFrame:
-        return self.sightings.groupBy("event_id", "date_accessed").agg(
+        rows = self.sightings.groupBy("event_id", "snapshot_date").agg(
             F.min("value").alias("minprice"),
             F.max("value").alias("maxprice"),
             F.countDistinct("listing_id").cast("int").alias("totallistings"),
             F.count(F.lit(1)).cast("int").alias("totaltickets"),
             (F.count(F.lit(1)) / F.countDistinct("listing_id")).alias("popularity"),
         )
+        return with_text(rows)
 
     @property
     def events(self) -> DataFrame:
@@ -120,31 +127,35 @@ class Market:
         )
 
 
+def with_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("date_accessed", snapshot_text(F.col("snapshot_date")))
+
+
 CTE = """
 sightings AS (
   SELECT user_id AS listing_id, user_id // 10 AS event_id,
          CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 4
               WHEN 'signup' THEN 6 ELSE 8 END AS ticket_splits_option,
-         strftime(ts, '%Y_%m_%d') AS date_accessed, value,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_type AS kind
+         strftime(ts, '%Y_%m_%d') AS date_accessed, CAST(ts AS DATE) AS snapshot_date, value,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
   FROM events),
 splits AS (SELECT DISTINCT listing_id, ticket_splits_option, date_accessed FROM sightings),
 listings AS (
   SELECT listing_id, event_id, date_accessed, max(value) AS price_curr,
          CAST(count(*) AS INTEGER) AS quantity, min(k) < 5 AS is_ga,
          CASE WHEN max(value) < 1 THEN 'PARKING PASS' WHEN max(value) < 2 THEN NULL
-              ELSE 'Section ' || min(kind) END AS section_name,
+              ELSE 'Section ' || min(ticket_splits_option) END AS section_name,
          CASE WHEN max(k) < 10 THEN 'General Admission' WHEN max(k) < 25 THEN ''
               WHEN max(k) < 50 THEN 'Floor' WHEN max(k) < 75 THEN 'Balcony'
               ELSE 'Upper Tier' END AS zone_name,
          CASE WHEN min(k) < 30 THEN '' WHEN min(k) < 65 THEN 'True' ELSE 'False' END AS dirty_ticket_ind
   FROM sightings GROUP BY listing_id, event_id, date_accessed),
 summary AS (
-  SELECT event_id, date_accessed, min(value) AS minprice, max(value) AS maxprice,
+  SELECT event_id, snapshot_date, date_accessed, min(value) AS minprice, max(value) AS maxprice,
          CAST(count(DISTINCT listing_id) AS INTEGER) AS totallistings,
          CAST(count(*) AS INTEGER) AS totaltickets,
          count(*) / count(DISTINCT listing_id) AS popularity
-  FROM sightings GROUP BY event_id, date_accessed),
+  FROM sightings GROUP BY event_id, snapshot_date, date_accessed),
 shows AS (SELECT user_id // 10 AS event_id, CAST(max(ts) AS DATE) AS last_day FROM events GROUP BY 1),
 events_dim AS (
   SELECT event_id, c_name AS name, CAST(last_day + c_nationkey AS VARCHAR) || 'T20:00:00' AS eventdatelocal,

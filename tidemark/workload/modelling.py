@@ -202,19 +202,18 @@ def explained_variance(m: Market) -> DataFrame:
 
 @REGISTRY.add("""
 WITH x AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS y, CAST(l_quantity > 25 AS INTEGER) AS a, CAST(l_discount > 0.05::DOUBLE AS INTEGER) AS b FROM lineitem)
-SELECT CAST(y AS INTEGER) AS label, ln(count(*) / (SELECT count(*) FROM x)) AS prior,
-       ln((sum(a) + 1) / (count(*) + 2)) AS large, ln((sum(b) + 1) / (count(*) + 2)) AS cheap FROM x GROUP BY y""")
+SELECT CAST(y AS INTEGER) AS label, ln((sum(a) + 1) / (count(*) + 2)) AS large, ln((sum(b) + 1) / (count(*) + 2)) AS cheap FROM x GROUP BY y""")
 def bernoulli_parameters(m: Market) -> DataFrame:
-    """Log priors and smoothed log frequencies of Bernoulli naive Bayes on two flags."""
+    """Smoothed log frequencies of Bernoulli naive Bayes on two flags."""
     rows = m.table("lineitem").select(
         (F.col("l_returnflag") == "R").cast("double").alias("label"),
         F.array((F.col("l_quantity") > 25).cast("double"), (F.col("l_discount") > 0.05).cast("double")).alias("x"))
     data = models.feature_vector(rows, "x")
     model = models.naive_bayes("bernoulli").fit(data).stages[-1]
-    pi, theta = model.pi.toArray(), model.theta.toArray()
+    theta = model.theta.toArray()
     pick = lambda values: F.when(F.col("label") == 0, F.lit(float(values[0]))).otherwise(F.lit(float(values[1])))
     classes = data.select(F.col("label").cast("int").alias("label")).distinct()
-    return classes.select("label", pick(pi).alias("prior"), pick(theta[:, 0]).alias("large"), pick(theta[:, 1]).alias("cheap"))
+    return classes.select("label", pick(theta[:, 0]).alias("large"), pick(theta[:, 1]).alias("cheap"))
 
 
 @REGISTRY.add("""

@@ -122,13 +122,13 @@ def first_order_per_customer(m: Market) -> DataFrame:
 
 @REGISTRY.add("""
 SELECT c_custkey, count(DISTINCT o_orderkey) AS n_orders, count(DISTINCT o_orderdate) AS n_days,
-       round(avg(o_totalprice), 4) AS mean_price FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1""")
+       CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) / count(*) AS mean_cents FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1""")
 def mixed_aggregates(m: Market) -> DataFrame:
     """Two distinct counts and a mean per key in one aggregate."""
     return m.table("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.countDistinct("o_orderkey").alias("n_orders"),
         F.countDistinct("o_orderdate").alias("n_days"),
-        F.round(F.avg("o_totalprice"), 4).alias("mean_price"),
+        F.avg(F.round(F.col("o_totalprice") * 100).cast("long")).alias("mean_cents"),
     )
 
 
