@@ -141,7 +141,7 @@ def performer_multihot(
     taken per event before they are gathered, so an event holds at most as many
     entries as there are levels.
     """
-    rows = performer_levels(performers, max_perf, min_events).distinct()
+    rows = stage_table(performer_levels(performers, max_perf, min_events).distinct(), "performer_levels")
     levels = sorted(r[0] for r in rows.select("level").distinct().collect())
     per_event = rows.groupBy("event_id", "event_perf_count").agg(
         F.collect_set("level").alias("performer_levels")

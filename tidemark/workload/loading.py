@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tidemark.functions.dates import day_of_week, days_until, local_date, snapshot_date, snapshot_text
 from tidemark.operators import parse
@@ -22,9 +23,15 @@ def later_by(time: str, micros) -> F.Column:
     return (F.col(time) + F.make_dt_interval(secs=(micros / 1000000).cast("decimal(18,6)"))).cast("string")
 
 
-def parsed(objects: DataFrame, schema) -> DataFrame:
+def shaped(objects: DataFrame, schema: StructType) -> DataFrame:
+    """Objects with every field of the raw schema, the ones not given as NULL."""
+    return objects.to(StructType([*schema.fields, StructField("snapshot_date", DateType())]))
+
+
+def through_text(objects: DataFrame, schema: StructType) -> DataFrame:
     """Objects through JSON text and back, as a reader of raw files sees them."""
-    text = objects.select("snapshot_date", F.to_json(F.struct(*[c for c in objects.columns if c != "snapshot_date"])).alias("j"))
+    fields = [c for c in objects.columns if c != "snapshot_date"]
+    text = objects.select("snapshot_date", F.to_json(F.struct(*fields)).alias("j"))
     return text.select(F.from_json("j", schema).alias("o"), "snapshot_date").select("o.*", "snapshot_date")
 
 
@@ -78,7 +85,7 @@ def raw_events(m: Market) -> DataFrame:
         F.struct(F.col("r_name").alias("name")).alias("venueConfiguration"),
         later_by("o_orderdate", F.col("o_orderkey")).alias("dt_accessed"),
     )
-    return parsed(objects, EVENT_SCHEMA)
+    return shaped(objects, EVENT_SCHEMA)
 
 
 def raw_listings(m: Market) -> DataFrame:
@@ -102,7 +109,7 @@ def raw_listings(m: Market) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", F.array(line % 3)).alias("listingAttributeList"),
         later_by("l_shipdate", F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("dt_accessed"),
     )
-    return parsed(objects, LISTING_SCHEMA)
+    return shaped(objects, LISTING_SCHEMA)
 
 
 EVENTS = """
@@ -149,7 +156,9 @@ def parsed_performers(m: Market) -> DataFrame:
 
 @REGISTRY.add(f"WITH {EVENTS} SELECT o_custkey AS event_id, o_totalprice AS score, snapshot_date FROM ev")
 def parsed_scores(m: Market) -> DataFrame:
-    return parse.parse_events(raw_events(m))["events_scores"].drop("dt_accessed")
+    """Scores of events that were read as JSON text."""
+    raw = through_text(raw_events(m), EVENT_SCHEMA)
+    return parse.parse_events(raw)["events_scores"].drop("dt_accessed")
 
 
 @REGISTRY.add(f"WITH {EVENTS}, {SUMMARY} SELECT * FROM summ")
