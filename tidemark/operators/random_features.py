@@ -27,6 +27,7 @@ class RandomFourierFeatures(
     @keyword_only
     def __init__(self, *, gamma=1.0, components=256, dimension=None, seed=30, inputCol="features", outputCol="lifted"):
         super().__init__()
+        self._setDefault(gamma=1.0, components=256, seed=30, inputCol="features", outputCol="lifted")
         self._set(**self._input_kwargs)
 
     def draw(self) -> tuple[np.ndarray, np.ndarray]:
