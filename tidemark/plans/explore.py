@@ -174,17 +174,42 @@ def distinct_per(df: DataFrame, key: str | Sequence[str], value: str, name: str)
     return df.groupBy(*keys).agg(F.countDistinct(value).alias(name))
 
 
-def performer_summary(label_performer: DataFrame) -> DataFrame:
-    """Distinct events, distinct listings and gone rate per performer."""
-    return label_performer.groupBy("performer_id", "performer_name").agg(
+def labelled_acts(
+    labels: DataFrame, listings: DataFrame, events: DataFrame, performers: DataFrame, *keys: str
+) -> DataFrame:
+    """Label rows per event (and ``keys``) beside the performers of the event.
+
+    ``n`` and ``gone`` count the rows :func:`label_performers` would give for one
+    performer row.  Counting before the join with the performers keeps the
+    number of joined rows at events times performers.
+    """
+    shows = events.groupBy("event_id", "name").agg(F.count(F.lit(1)).alias("_copies"))
+    counts = (
+        with_listing(labels, listings, "event_id")
+        .groupBy("event_id", *keys)
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("indicator").cast("long")).alias("gone"))
+        .join(shows, "event_id")
+        .withColumns({"n": F.col("n") * F.col("_copies"), "gone": F.col("gone") * F.col("_copies")})
+        .drop("_copies")
+    )
+    return counts.join(performers.select("event_id", "performer_id", "performer_name", "role"), "event_id")
+
+
+def performer_summary(acts: DataFrame) -> DataFrame:
+    """Distinct events, distinct listings and gone rate per performer.
+
+    ``acts`` are :func:`labelled_acts` per listing.
+    """
+    return acts.groupBy("performer_id", "performer_name").agg(
         F.countDistinct("event_id").alias("n_events"),
         F.countDistinct("listing_id").alias("n_listings"),
-        F.avg("indicator").alias("gone_rate"),
+        (F.sum("gone") / F.sum("n")).alias("gone_rate"),
     )
 
 
-def role_counts(label_performer: DataFrame) -> DataFrame:
-    return value_counts(label_performer.select(wordless_to(F.col("role")).alias("role")), "role")
+def role_counts(acts: DataFrame) -> DataFrame:
+    """Label rows per performer role; roles without a word count as 'None'."""
+    return acts.groupBy(wordless_to(F.col("role")).alias("role")).agg(F.sum("n").alias("count"))
 
 
 def column_sums(df: DataFrame) -> DataFrame:
@@ -259,17 +284,15 @@ def binned_rate(df: DataFrame, column: str, bins: int | Sequence[float]) -> Data
     return count_mean(binned.filter(F.col("bin").isNotNull()), "bin")
 
 
-def performers_per_event(label_performer: DataFrame) -> DataFrame:
-    """Distinct performers per event with their bin."""
-    per_event = distinct_per(label_performer, "event_id", "performer_id", "performer_count")
-    return per_event.withColumn("perf_count_bin", edge_bin(F.col("performer_count"), PERFORMER_EDGES))
-
-
-def performer_bin_events(label_performer: DataFrame) -> DataFrame:
-    """Gone rate per event with the performer-count bin of the event."""
-    return count_mean(
-        label_performer.join(performers_per_event(label_performer), "event_id"), "event_id", "perf_count_bin"
+def performers_per_event(acts: DataFrame) -> DataFrame:
+    """Distinct performers per event, their bin, and the event's label rows and rate."""
+    per_event = acts.groupBy("event_id", "name").agg(
+        F.countDistinct("performer_id").alias("performer_count"),
+        F.sum("n").alias("count"),
+        F.sum("gone").alias("gone"),
+        (F.sum("gone") / F.sum("n")).alias("mean"),
     )
+    return per_event.withColumn("perf_count_bin", edge_bin(F.col("performer_count"), PERFORMER_EDGES))
 
 
 def top_event_rates(rates: DataFrame, n: int = 10) -> DataFrame:
