@@ -23,7 +23,8 @@ def range_edges(df: DataFrame, column: str, ranges: int | None = None) -> list[f
     if ranges == 1:
         return []
     cuts = [i / ranges for i in range(1, ranges)]
-    return sorted(set(df.approxQuantile(column, cuts, 1.0 / (4 * ranges))))
+    found = df.select(F.percentile_approx(F.col(column).cast("double"), cuts, 4 * ranges)).first()[0]
+    return sorted(set(found or []))
 
 
 def with_range(df: DataFrame, column: str, edges: Sequence[float], name: str = "_range") -> DataFrame:
@@ -34,6 +35,22 @@ def with_range(df: DataFrame, column: str, edges: Sequence[float], name: str = "
     return Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
 
 
+def totals_inside(
+    placed: DataFrame, value: str, sums: Sequence[str], by: Sequence[str], descending: bool
+) -> DataFrame:
+    """Running total ``_in_<col>`` inside each range."""
+    toward = F.desc if descending else F.asc
+    inside = Window.partitionBy(*by, "_range").orderBy(toward(value)).rowsBetween(Window.unboundedPreceding, 0)
+    return placed.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in sums])
+
+
+def totals_before(columns: dict[str, str], by: Sequence[str], descending: bool) -> dict[str, Column]:
+    """For each ``{name: col}`` the sum of ``col`` over the ranges before a range."""
+    toward = F.desc if descending else F.asc
+    window = Window.partitionBy(*by).orderBy(toward("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    return {name: F.coalesce(F.sum(col).over(window), F.lit(0)) for name, col in columns.items()}
+
+
 def running_totals(
     df: DataFrame,
     value: str,
@@ -51,16 +68,10 @@ def running_totals(
     """
     by = list(by)
     placed = with_range(df, value, edges)
-    toward = F.desc if descending else F.asc
-    offsets_window = Window.partitionBy(*by).orderBy(toward("_range")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_all_{c}") for c in sums])
-    offsets = offsets.select(
-        *by,
-        "_range",
-        *[F.coalesce(F.sum(f"_all_{c}").over(offsets_window), F.lit(0)).alias(f"_before_{c}") for c in sums],
-    )
-    inside = Window.partitionBy(*by, "_range").orderBy(toward(value)).rowsBetween(Window.unboundedPreceding, 0)
-    local = placed.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in sums])
+    before = totals_before({f"_before_{c}": f"_all_{c}" for c in sums}, by, descending)
+    offsets = offsets.select(*by, "_range", *[column.alias(name) for name, column in before.items()])
+    local = totals_inside(placed, value, sums, by, descending)
     offsets = offsets.withColumnsRenamed({c: f"_o_{c}" for c in [*by, "_range"]})
     match = [local[c].eqNullSafe(offsets[f"_o_{c}"]) for c in [*by, "_range"]]
     return local.join(offsets, match).select(

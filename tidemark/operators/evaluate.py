@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.binning import equal_width_bin, grid_slot
-from tidemark.operators.cumulate import range_edges, running_totals
+from tidemark.operators.cumulate import range_edges, running_totals, totals_before, totals_inside, with_range
 from tidemark.plans.explore import column_range
 
 FN_PENALTY = 15
@@ -37,15 +37,25 @@ def auc(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve; tied scores count half.  NULL with one class only.
 
     For every score: its negatives times the positives scored higher, plus half
-    of the positives tied with it.
+    of the positives tied with it.  Wins inside a value range come from a window
+    over that range; wins over the ranges above are range totals multiplied, so
+    the counts are read once and never joined.
     """
-    ranked = _ranked(scored, by)
-    higher = (F.col("cum_pos") - F.col("pos")).cast("double") + F.col("pos") / 2
-    sums = ranked.groupBy(*by).agg(
+    by = list(by)
+    placed = with_range(score_counts(scored, by), "score", range_edges(scored, "score"))
+    local = totals_inside(placed, "score", ["pos"], by, descending=True)
+    higher = (F.col("_in_pos") - F.col("pos")).cast("double") + F.col("pos") / 2
+    per_range = local.groupBy(*by, "_range").agg(
         F.sum(F.col("neg") * higher).alias("_wins"),
         F.sum("pos").cast("double").alias("_p"),
         F.sum("neg").cast("double").alias("_n"),
     )
+    above = totals_before({"_above": "_p"}, by, descending=True)["_above"]
+    sums = per_range.withColumn("_above", above).groupBy(*by).agg(
+        F.sum(F.col("_wins") + F.col("_n") * F.col("_above")).alias("_wins"),
+        F.sum("_p").alias("_p"),
+        F.sum("_n").alias("_n"),
+    )
     pairs = F.col("_p") * F.col("_n")
     return sums.select(*by, F.when(pairs > 0, F.col("_wins") / pairs).alias("auc"))
 
