@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import cumulate, evaluate
 from tidemark.plans import explore
 from tidemark.workload.market import Market
-from tidemark.workload.registry import Registry
+from tidemark.workload.registry import Registry, rounded
 
 REGISTRY = Registry()
 
@@ -66,18 +66,18 @@ areas AS (
 """
 
 
-@REGISTRY.add(with_scores(f"WITH {AUC} SELECT * FROM areas"))
+@REGISTRY.add(with_scores(f"WITH {AUC} SELECT model, split, round(auc, 6) AS auc FROM areas"))
 def auc_by_model(m: Market) -> DataFrame:
-    return evaluate.auc(scored(m), ["model", "split"])
+    return rounded(evaluate.auc(scored(m), ["model", "split"]), "auc")
 
 
 @REGISTRY.add(with_scores("""
 WITH hard AS (SELECT model, label, CASE WHEN score > 0.3::DOUBLE THEN 1 ELSE 0 END AS g FROM scored),
 c AS (SELECT model, sum(label * g)::DOUBLE AS tp, sum(label * (1 - g))::DOUBLE AS fn,
              sum((1 - label) * g)::DOUBLE AS fp, sum((1 - label) * (1 - g))::DOUBLE AS tn FROM hard GROUP BY model)
-SELECT model, (tp * (tn + fp / 2) + fn * tn / 2) / ((tp + fn) * (fp + tn)) AS auc FROM c"""))
+SELECT model, round((tp * (tn + fp / 2) + fn * tn / 2) / ((tp + fn) * (fp + tn)), 6) AS auc FROM c"""))
 def auc_of_hard_prediction(m: Market) -> DataFrame:
-    return evaluate.auc_at_cutoff(scored(m), 0.3, ["model"])
+    return rounded(evaluate.auc_at_cutoff(scored(m), 0.3, ["model"]), "auc")
 
 
 @REGISTRY.add(with_scores("""
@@ -191,24 +191,25 @@ held AS (SELECT s.model, p.cutoff, p.train_loss,
                 sum(CASE WHEN s.label = 1 AND NOT s.score > p.cutoff THEN 15 WHEN s.label = 0 AND s.score > p.cutoff THEN 1 ELSE 0 END)
                 / count(*) AS holdout_loss
          FROM scored s JOIN picked p USING (model) WHERE split = 'holdout' GROUP BY ALL)
-SELECT h.model, t.auc AS train_auc, o.auc AS holdout_auc, h.cutoff, h.train_loss, h.holdout_loss
+SELECT h.model, round(t.auc, 6) AS train_auc, round(o.auc, 6) AS holdout_auc, h.cutoff, h.train_loss, h.holdout_loss
 FROM held h JOIN areas t ON t.model = h.model AND t.split = 'train'
 JOIN areas o ON o.model = h.model AND o.split = 'holdout'"""))
 def model_comparison(m: Market) -> DataFrame:
-    return evaluate.compare_models(scored(m).filter(F.col("model") == "discount"))
+    table = evaluate.compare_models(scored(m).filter(F.col("model") == "discount"))
+    return rounded(table, "train_auc", "holdout_auc")
 
 
 @REGISTRY.add(with_scores("""
 WITH p AS (SELECT model, avg(CASE WHEN split = 'train' THEN score END) AS train,
                   avg(CASE WHEN split = 'holdout' THEN score END) AS holdout FROM scored GROUP BY model)
-SELECT model, 'train' AS part, train AS mean_score FROM p UNION ALL SELECT model, 'holdout', holdout FROM p"""))
+SELECT model, 'train' AS part, round(train, 6) AS mean_score FROM p UNION ALL SELECT model, 'holdout', round(holdout, 6) FROM p"""))
 def melted_scores(m: Market) -> DataFrame:
     """Mean score per model and part, turned from wide to long."""
     wide = scored(m).groupBy("model").agg(
         F.avg(F.when(F.col("split") == "train", F.col("score"))).alias("train"),
         F.avg(F.when(F.col("split") == "holdout", F.col("score"))).alias("holdout"),
     )
-    return evaluate.melt(wide, ["model"], ["train", "holdout"], "part", "mean_score")
+    return rounded(evaluate.melt(wide, ["model"], ["train", "holdout"], "part", "mean_score"), "mean_score")
 
 
 @REGISTRY.add("""

@@ -14,7 +14,7 @@ from tidemark.operators import discriminant, evaluate, models
 from tidemark.plans import features
 from tidemark.workload.catalog import MAIN, main
 from tidemark.workload.market import Market, with_market
-from tidemark.workload.registry import Registry
+from tidemark.workload.registry import Registry, rounded
 
 REGISTRY = Registry()
 SUPPLIERS = [str(i) for i in range(1, 9)]
@@ -66,7 +66,8 @@ zones AS (SELECT zone_name FROM main GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT
 best AS (SELECT performer_id FROM performers GROUP BY 1 ORDER BY count(DISTINCT event_id) DESC, performer_id LIMIT 5),
 hot AS (SELECT DISTINCT event_id, CASE WHEN performer_id IN (SELECT performer_id FROM best) THEN CAST(performer_id AS VARCHAR) ELSE '0' END AS lv
         FROM performers),
-sizes AS (SELECT event_id, count(*) AS n FROM performers GROUP BY 1)
+sizes AS (SELECT event_id, count(*) AS n FROM performers GROUP BY 1),
+sums AS (
 {' UNION ALL '.join(f"SELECT '{c}' AS feature, CAST(sum(CAST({c} AS DOUBLE)) AS DOUBLE) AS total FROM main" for c in NUMBERS)}
 UNION ALL SELECT 'event_perf_count', CAST(sum(COALESCE(n, 0)) AS DOUBLE) FROM main LEFT JOIN sizes USING (event_id)
 UNION ALL SELECT 'performer_id_' || lv, CAST(sum(CASE WHEN m.event_id IS NULL THEN 0 ELSE 1 END) AS DOUBLE) FROM hot h LEFT JOIN main m USING (event_id)
@@ -75,8 +76,8 @@ UNION ALL {level_sums('dow_show', 'CAST(dow_show AS VARCHAR)')}
 UNION ALL {level_sums('geos', CLEAN.format('geos'))}
 UNION ALL {level_sums('category', CLEAN.format('category'))}
 UNION ALL {level_sums('dirty_ticket_ind', "CASE WHEN dirty_ticket_ind = '' THEN 'False' ELSE dirty_ticket_ind END")}
-UNION ALL {level_sums('zone_name_simp', "CASE WHEN zone_name <> '' AND zone_name IN (SELECT zone_name FROM zones) THEN zone_name ELSE '0' END")}
-"""))
+UNION ALL {level_sums('zone_name_simp', "CASE WHEN zone_name <> '' AND zone_name IN (SELECT zone_name FROM zones) THEN zone_name ELSE '0' END")})
+SELECT feature, round(total, 6) AS total FROM sums"""))
 def feature_matrix_sums(m: Market) -> DataFrame:
     """Sum of every column of the feature matrix but the prices, over both parts of the split."""
     matrix = features.feature_matrix(
@@ -88,7 +89,7 @@ def feature_matrix_sums(m: Market) -> DataFrame:
     )
     named = F.arrays_zip(F.array(*[F.lit(n) for n in matrix.names]).alias("feature"), F.col("total"))
     rows = sums.select(F.explode(named).alias("r")).select(F.col("r.feature").alias("feature"), "r.total")
-    return rows.filter(~F.col("feature").isin("price_curr", "price_over_min", "minprice"))
+    return rounded(rows.filter(~F.col("feature").isin("price_curr", "price_over_min", "minprice")), "total")
 
 
 def parts(m: Market, **options) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -126,16 +127,17 @@ def lines(m: Market, *columns: str) -> DataFrame:
 
 
 @REGISTRY.add("""
-SELECT l_orderkey, l_linenumber, (l_quantity - avg(l_quantity) OVER ()) / stddev_samp(l_quantity) OVER () AS quantity,
-       (l_discount - avg(l_discount) OVER ()) / stddev_samp(l_discount) OVER () AS discount FROM lineitem""")
+SELECT l_orderkey, l_linenumber, round((l_quantity - avg(l_quantity) OVER ()) / stddev_samp(l_quantity) OVER (), 6) AS quantity,
+       round((l_discount - avg(l_discount) OVER ()) / stddev_samp(l_discount) OVER (), 6) AS discount FROM lineitem""")
 def standardised_columns(m: Market) -> DataFrame:
     rows = m.table("lineitem").select("l_orderkey", "l_linenumber", F.array("l_quantity", "l_discount").alias("x"))
     data = models.feature_vector(rows, "x")
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(data)
     out = vector_to_array("scaled")
-    return scaler.transform(data).select(
+    columns = scaler.transform(data).select(
         "l_orderkey", "l_linenumber", out[0].alias("quantity"), out[1].alias("discount")
     )
+    return rounded(columns, "quantity", "discount")
 
 
 @REGISTRY.add("""
@@ -176,7 +178,7 @@ s AS (SELECT y, count(*) AS n, avg(a) AS m, 0.99 * var_samp(a) + 0.01 AS v FROM
 d AS (SELECT l_orderkey, l_linenumber, l_partkey,
              (ln(o.n) - 0.5 * ln(o.v) - 0.5 * (a - o.m) ** 2 / o.v) - (ln(z.n) - 0.5 * ln(z.v) - 0.5 * (a - z.m) ** 2 / z.v) AS g
       FROM x, s o, s z WHERE o.y = 1 AND z.y = 0)
-SELECT l_orderkey, l_linenumber, l_partkey, 1 / (1 + exp(-g)) AS score FROM d""")
+SELECT l_orderkey, l_linenumber, l_partkey, round(1 / (1 + exp(-g)), 6) AS score FROM d""")
 def quadratic_discriminant_scores(m: Market) -> DataFrame:
     """QDA with shrunk spreads on one column, scored on every row."""
     rows = m.table("lineitem").select(
@@ -184,7 +186,8 @@ def quadratic_discriminant_scores(m: Market) -> DataFrame:
         (F.col("l_returnflag") == "R").cast("double").alias("label"), F.array("l_quantity").alias("x"))
     data = models.feature_vector(rows, "x")
     model = discriminant.fit_qda(data, reg_param=0.01)
-    return models.with_score(model.transform(data)).select("l_orderkey", "l_linenumber", "l_partkey", "score")
+    scored = models.with_score(model.transform(data))
+    return rounded(scored.select("l_orderkey", "l_linenumber", "l_partkey", "score"), "score")
 
 
 @REGISTRY.add("""
@@ -202,7 +205,7 @@ def explained_variance(m: Market) -> DataFrame:
 
 @REGISTRY.add("""
 WITH x AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS y, CAST(l_quantity > 25 AS INTEGER) AS a, CAST(l_discount > 0.05::DOUBLE AS INTEGER) AS b FROM lineitem)
-SELECT CAST(y AS INTEGER) AS label, ln((sum(a) + 1) / (count(*) + 2)) AS large, ln((sum(b) + 1) / (count(*) + 2)) AS cheap FROM x GROUP BY y""")
+SELECT CAST(y AS INTEGER) AS label, round(ln((sum(a) + 1) / (count(*) + 2)), 6) AS large, round(ln((sum(b) + 1) / (count(*) + 2)), 6) AS cheap FROM x GROUP BY y""")
 def bernoulli_parameters(m: Market) -> DataFrame:
     """Smoothed log frequencies of Bernoulli naive Bayes on two flags."""
     rows = m.table("lineitem").select(
@@ -213,12 +216,12 @@ def bernoulli_parameters(m: Market) -> DataFrame:
     theta = model.theta.toArray()
     pick = lambda values: F.when(F.col("label") == 0, F.lit(float(values[0]))).otherwise(F.lit(float(values[1])))
     classes = data.select(F.col("label").cast("int").alias("label")).distinct()
-    return classes.select("label", pick(theta[:, 0]).alias("large"), pick(theta[:, 1]).alias("cheap"))
+    return classes.select("label", F.round(pick(theta[:, 0]), 6).alias("large"), F.round(pick(theta[:, 1]), 6).alias("cheap"))
 
 
 @REGISTRY.add("""
 WITH x AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS y, l_quantity AS a FROM lineitem)
-SELECT CAST(y AS INTEGER) AS label, count(*) / (SELECT count(*) FROM x) AS prior, round(avg(a), 6) AS mean,
+SELECT CAST(y AS INTEGER) AS label, round(count(*) / (SELECT count(*) FROM x), 6) AS prior, round(avg(a), 6) AS mean,
        round(var_pop(a), 4) AS variance FROM x GROUP BY y""")
 def gaussian_parameters(m: Market) -> DataFrame:
     """Priors, means and variances of Gaussian naive Bayes on one column."""
@@ -228,7 +231,7 @@ def gaussian_parameters(m: Market) -> DataFrame:
     pick = lambda values: F.when(F.col("label") == 0, F.lit(float(values[0]))).otherwise(F.lit(float(values[1])))
     classes = data.select(F.col("label").cast("int").alias("label")).distinct()
     return classes.select(
-        "label", F.exp(pick(pi)).alias("prior"), F.round(pick(mean), 6).alias("mean"), F.round(pick(var), 4).alias("variance"))
+        "label", F.round(F.exp(pick(pi)), 6).alias("prior"), F.round(pick(mean), 6).alias("mean"), F.round(pick(var), 4).alias("variance"))
 
 
 def report(model, name: str, data: DataFrame) -> DataFrame:

@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.workload.market import Market
 
 
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    """Columns whose last digits depend on the order of summation, rounded as in their SQL."""
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
 class Registry:
     def __init__(self) -> None:
         self.queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
