@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 
 import duckdb
 
@@ -13,6 +14,10 @@ TABLES = (
 ).split()
 
 
+# EXACT=1 compares doubles bit by bit instead of to six digits.
+EXACT = os.environ.get("EXACT") == "1"
+
+
 def sql_engine(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for table in TABLES:
@@ -28,7 +33,7 @@ def _cell(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "nan"
-        return f"f{round(value, 6) + 0.0:.6f}"
+        return repr(value + 0.0) if EXACT else f"f{round(value, 6) + 0.0:.6f}"
     if isinstance(value, int):
         return f"i{value}"
     if isinstance(value, (dt.date, dt.datetime)):
