@@ -64,6 +64,7 @@ def test_events_are_flattened(spark, tmp_path):
     assert not [c for c in out["events_ticket_summary"].columns if "with" in c]
     assert rows(out["venues_df"], "venue_id", "name") == [(9, "Hall")]
     assert rows(out["events_scores"], "event_id", "score") == [(1, 1.5), (3, None)]
+    assert "snapshot_date" not in EVENT_SCHEMA.fieldNames()
     volume = parse.catalogue_volume(out["events_ticket_summary"])
     assert rows(volume) == [(1, 250, 3, 3 / 600)]
 

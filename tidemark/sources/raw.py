@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tidemark.schemas import EVENT_SCHEMA, LISTING_SCHEMA
 
@@ -26,7 +26,8 @@ def read_day(spark: SparkSession, path: str, schema: StructType, day: dt.date) -
 
 
 def _read(spark: SparkSession, path: str, schema: StructType, dates) -> DataFrame:
-    with_day = StructType(schema.fields).add("snapshot_date", "date")
+    # A new list: adding to StructType(schema.fields) would change the shared schema.
+    with_day = StructType([*schema.fields, StructField("snapshot_date", DateType())])
     df = spark.read.schema(with_day).json(path)
     # A filter on the folder column: only the asked days are listed and read.
     return df if dates is None else df.filter(F.col("snapshot_date").isin(list(dates)))
