@@ -29,6 +29,8 @@ SOFT_RULES: dict[str, str] = {
 }
 BASE_FAILED = "n_words < 10 OR 100 * n_repeat_words > 20 * n_words"
 HOST_LIMIT = 0.3
+# Hosts with a binding rule that may be broadcast; a row takes about 100 bytes.
+BROADCAST_HOSTS = 100_000
 # Bounds of the prior's weight, in documents.
 WEIGHTS = (1.0, 1000000.0)
 
@@ -175,6 +177,10 @@ def host_verdicts(
         .groupBy("host_key")
         .agg(F.collect_set("rule").alias("binding"))
     )
+    binding = stage_table(binding, "host_bindings")
+    # Few hosts break rules this often. Beyond the bound the join shuffles, and splits hot hosts.
+    if binding.count() <= BROADCAST_HOSTS:
+        binding = F.broadcast(binding)
     judged = figures.join(binding, "host_key", "left")
     broken = F.concat_ws(
         ",",

@@ -2,12 +2,103 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import host_rules
+from pyspark.sql import functions as F
+
+from tidemark.llm import byte_bpe, host_rules, license_scan, line_dedup, secret_ledger
 from tidemark.llm.common import documents
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encode, decode = byte_bpe.encoder(*files), byte_bpe.decoder(*files)
+    encoded = documents(spark, sf_dir).select("doc_id", encode("text").alias("ids"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(decode("ids"), 256).alias("decoded_sha256"),
+    )
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", F.length("text").cast("long").alias("n_chars"))
+    cut = line_dedup.without_repeats(docs)
+    return cut.select(
+        "doc_id",
+        F.coalesce("n_chars", F.lit(0)).alias("n_chars"),
+        (F.coalesce("n_chars", F.lit(0)) - F.length("text")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))).alias("removed"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
+OP4_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS i
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+normal AS (
+  SELECT *, len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) >= 5 AS counts,
+         trim(lower(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')), ' ') AS unit,
+         coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+  FROM lines),
+judged AS (
+  SELECT *, counts AND row_number() OVER (PARTITION BY counts, unit ORDER BY doc_id, i) > 1 AS gone FROM normal),
+spans AS (
+  SELECT doc_id, min(s) AS s, max(least(s + length(line) + 1, length(text))) AS e
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM judged WHERE gone)
+  GROUP BY doc_id, run),
+kept AS (
+  SELECT doc_id, length(text) AS n, sha256(string_agg(CASE WHEN gone THEN '' ELSE substring(text, CAST(s + 1 AS BIGINT), length(line) + 1) END, '' ORDER BY i)) AS h
+  FROM judged GROUP BY doc_id, text),
+removed AS (
+  SELECT doc_id, sum(e - s) AS n, count(*) AS k, string_agg(CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY s) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT k.doc_id, k.n AS n_chars, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed, coalesce(r.k, 0) AS n_spans,
+       coalesce(r.spans, '') AS removed, h AS kept_sha256
+FROM kept k LEFT JOIN removed r ON k.doc_id = r.doc_id
+"""
+
+
+def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return secret_ledger.with_findings(docs, secret_ledger.new_ledger(spark)).drop("text")
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(documents(spark, sf_dir))
+
+
+OP7_SQL = r"""
+WITH normal AS (
+  SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}\n]+', ' ', 'g') AS t FROM documents),
+units AS (
+  SELECT doc_id, 'line' AS kind, unnest(string_split(t, chr(10))) AS unit,
+         unnest(range(0, len(string_split(t, chr(10))))) AS number FROM normal
+  UNION ALL
+  SELECT doc_id, 'paragraph', unit, number FROM (
+    SELECT doc_id, unnest(regexp_split_to_array(t, '\n(?:\x20?\n)+')) AS unit,
+           unnest(range(0, len(regexp_split_to_array(t, '\n(?:\x20?\n)+')))) AS number FROM normal)
+  WHERE contains(unit, chr(10))),
+worded AS (
+  SELECT doc_id, kind, number, list_filter(regexp_split_to_array(unit, '[\x20\n]+'), lambda x: x <> '') AS words FROM units),
+bigrams AS (
+  SELECT DISTINCT doc_id, kind, number, words[i] || ' ' || words[i + 1] AS bigram
+  FROM (SELECT *, unnest(range(1, len(words))) AS i FROM worded)),
+sized AS (SELECT *, count(*) OVER (PARTITION BY doc_id, kind, number) AS n_unit FROM bigrams),
+matched AS (
+  SELECT doc_id, kind, number, license, count(*) AS n_shared, n_unit, n_template
+  FROM sized JOIN (VALUES @templates@) t(license, n_template, bigram) USING (bigram)
+  GROUP BY doc_id, kind, number, license, n_unit, n_template)
+SELECT doc_id, kind, CAST(number AS INTEGER) AS number, license, CAST(n_shared AS INTEGER) AS n_shared,
+       CAST(n_unit AS INTEGER) AS n_unit, n_template, CAST(2.0 * n_shared / (n_unit + n_template) AS DOUBLE) AS dice
+FROM matched WHERE 2.0 * n_shared / (n_unit + n_template) >= 0.8
+""".replace("@templates@", license_scan.template_values())
+
+
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.host_verdicts(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rules"
@@ -61,8 +152,14 @@ FROM figures f LEFT JOIN broken b ON f.doc_id = b.doc_id
 """
 
 QUERIES = {
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_secret_ledger": op5_secret_ledger,
+    "op7_license_scan": op7_license_scan,
     "op10_host_rules": op10_host_rules,
 }
 ORACLE = {
+    "op4_line_dedup": OP4_SQL,
+    "op7_license_scan": OP7_SQL,
     "op10_host_rules": OP10_SQL,
 }
