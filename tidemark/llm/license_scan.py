@@ -10,6 +10,7 @@ reach the threshold before anything is counted.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,19 +85,25 @@ def _templates(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
 
 
 def _units(text: Column) -> Column:
-    """kind, number and normalised text of the lines and of the paragraphs that have several lines."""
-
-    def numbered(kind: str, parts: Column) -> Column:
-        return F.transform(
-            parts, lambda unit, i: F.struct(F.lit(kind).alias("kind"), i.alias("number"), unit.alias("unit"))
+    """kind, number and words of the lines and of the paragraphs that have several lines."""
+
+    def numbered(kind: str, parts: Column, worth) -> Column:
+        words = F.transform(
+            parts,
+            lambda unit, i: F.struct(
+                F.lit(kind).alias("kind"),
+                i.alias("number"),
+                F.when(worth(unit), F.filter(F.split(unit, r"[\x20\n]+"), lambda w: w != "")).alias("words"),
+            ),
         )
+        return F.filter(words, lambda x: x["words"].isNotNull())
 
     # Line feeds stay, so that lines and paragraphs can still be told apart.
     normal = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")
-    paragraphs = F.filter(
-        numbered("paragraph", F.split(normal, r"\n(?:\x20?\n)+")), lambda x: F.contains(x["unit"], F.lit("\n"))
+    return F.concat(
+        numbered("line", F.split(normal, "\n"), lambda unit: F.lit(True)),
+        numbered("paragraph", F.split(normal, r"\n(?:\x20?\n)+"), lambda unit: F.contains(unit, F.lit("\n"))),
     )
-    return F.concat(numbered("line", F.split(normal, "\n")), paragraphs)
 
 
 def licenses(
@@ -116,26 +123,22 @@ def licenses(
     longest = max((n for _, n, _ in template_bigrams(templates)), default=0)
     # dice <= 2 * min / (a + b): sizes further apart than this cannot reach the threshold.
     reach = threshold / (2 - threshold)
+    # The explode puts the words into a row each, so nothing below splits a text again.
     units = docs.select(
         F.col(doc_id).alias("doc_id"), F.explode(_units(F.coalesce(F.col(text), F.lit("")))).alias("u")
     ).select("doc_id", "u.*")
-    worded = units.select(
-        "doc_id", "kind", "number", F.filter(F.split("unit", r"[\x20\n]+"), lambda w: w != "").alias("words")
-    ).filter(F.size("words") > F.floor(F.lit(shortest * reach)))
-    paired = worded.select(
-        "doc_id",
-        "kind",
-        "number",
-        F.xxhash64("words").alias("unit_key"),
-        F.array_distinct(
-            F.transform(
-                F.slice("words", 1, F.size("words") - 1),
-                lambda w, i: F.concat(w, F.lit(" "), F.get("words", i + 1)),
-            )
-        ).alias("bigrams"),
+    bigrams = F.array_distinct(
+        F.zip_with(
+            F.slice("words", 1, F.size("words") - 1),
+            F.slice("words", 2, F.size("words") - 1),
+            lambda a, b: F.concat(a, F.lit(" "), b),
+        )
     )
-    sized = paired.withColumn("n_unit", F.size("bigrams")).filter(
-        (F.col("n_unit") >= F.floor(F.lit(shortest * reach))) & (F.col("n_unit") <= F.ceil(F.lit(longest / reach)))
+    sized = (
+        units.filter(F.size("words") > max(1, math.floor(shortest * reach)))
+        .select("doc_id", "kind", "number", F.xxhash64("words").alias("unit_key"), F.explode(F.array(bigrams)).alias("bigrams"))
+        .withColumn("n_unit", F.size("bigrams"))
+        .filter(F.col("n_unit").between(math.floor(shortest * reach), math.ceil(longest / reach)))
     )
     shared = (
         sized.select("doc_id", "kind", "number", "unit_key", "n_unit", F.explode("bigrams").alias("bigram"))
