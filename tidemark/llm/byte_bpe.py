@@ -22,9 +22,9 @@ import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import SPACE
+
 MEMO = 1_000_000
-# White space in the sense of Unicode, which the patterns of the rank files use.
-SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 
 

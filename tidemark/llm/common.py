@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # The white space that separates words: space, tab, line feed, vertical tab, form feed, return.
 BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
+# White space in the sense of Unicode, for use within a character class.
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,10 +7,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, host_rules, license_scan, line_dedup, secret_ledger
+from tidemark.llm import byte_bpe, host_rules, license_scan, line_dedup, odd_sketch, packing, secret_ledger, toxicity
 from tidemark.llm.common import documents
 
 
+def op1_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(documents(spark, sf_dir), width=2)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.scored(docs, model).select(
+        "doc_id",
+        F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encode, decode = byte_bpe.encoder(*files), byte_bpe.decoder(*files)
@@ -105,6 +120,13 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 OP10_SQL = r"""
 WITH parted AS (
   SELECT doc_id, source, coalesce(text, '') AS text,
@@ -152,10 +174,13 @@ FROM figures f LEFT JOIN broken b ON f.doc_id = b.doc_id
 """
 
 QUERIES = {
+    "op1_odd_sketch": op1_odd_sketch,
+    "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_line_dedup": op4_line_dedup,
     "op5_secret_ledger": op5_secret_ledger,
     "op7_license_scan": op7_license_scan,
+    "op9_packing": op9_packing,
     "op10_host_rules": op10_host_rules,
 }
 ORACLE = {
