@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, host_rules, license_scan, line_dedup, odd_sketch, packing, secret_ledger, toxicity
+from tidemark.llm import byte_bpe, column_bwt, host_rules, license_scan, line_dedup, odd_sketch, packing, secret_ledger, toxicity
 from tidemark.llm.common import documents
 
 
@@ -83,6 +83,16 @@ def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ledger.with_findings(docs, secret_ledger.new_ledger(spark)).drop("text")
 
 
+def op6_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return column_bwt.without_repeats(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.licenses(documents(spark, sf_dir))
 
@@ -179,6 +189,7 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_line_dedup": op4_line_dedup,
     "op5_secret_ledger": op5_secret_ledger,
+    "op6_column_bwt": op6_column_bwt,
     "op7_license_scan": op7_license_scan,
     "op9_packing": op9_packing,
     "op10_host_rules": op10_host_rules,
