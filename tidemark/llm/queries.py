@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, column_bwt, host_rules, license_scan, line_dedup, odd_sketch, packing, secret_ledger, toxicity
+from tidemark.llm import byte_bpe, column_bwt, host_rules, license_scan, line_dedup, multi_index, odd_sketch, packing, secret_ledger, toxicity
 from tidemark.llm.common import documents
 
 
@@ -130,6 +130,23 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return multi_index.top_k(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+OP8_SQL = """
+WITH signs AS (SELECT vec_id, [x > 0 for x in embedding] AS s FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS neighbor_id, len([i for i in range(1, 65) if a.s[i] <> b.s[i]]) AS distance
+  FROM signs a, signs b WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
+SELECT * FROM (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank, neighbor_id, distance
+  FROM pairs)
+WHERE rank <= 10
+"""
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
@@ -191,11 +208,13 @@ QUERIES = {
     "op5_secret_ledger": op5_secret_ledger,
     "op6_column_bwt": op6_column_bwt,
     "op7_license_scan": op7_license_scan,
+    "op8_multi_index": op8_multi_index,
     "op9_packing": op9_packing,
     "op10_host_rules": op10_host_rules,
 }
 ORACLE = {
     "op4_line_dedup": OP4_SQL,
     "op7_license_scan": OP7_SQL,
+    "op8_multi_index": OP8_SQL,
     "op10_host_rules": OP10_SQL,
 }
