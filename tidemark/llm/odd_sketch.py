@@ -6,15 +6,15 @@
    precisely where few do.
 2. Texts of equal sets are one class, held by its smallest doc_id. Only classes go on.
 3. Classes that share a band key are candidates. They are not paired with each other: round one
-   pairs each with the smallest class of its bucket; round two takes only buckets that still hold
-   several components and gives each class its best partner by sketch in each other block; round
-   three takes every pair of different components there that sizes and sketches do not rule out.
-   Crowded buckets are compared in blocks of ``BLOCK`` classes, spread over tasks.
-4. Pairs that pass the sketches are confirmed on the full sets, and links make components by
-   alternating star contractions, each step a table in the shared folder.
+   pairs each with the smallest class of its bucket. Round two takes only buckets that still hold
+   several components. It compares their sketches in blocks of ``BLOCK`` classes, fetches the sets
+   of the classes that are in a possible pair of different components at all, and puts out only
+   links that join components, fewer than the classes of the block.
+4. Links are confirmed on the full sets, and make components by alternating star contractions, each
+   step a table in the shared folder.
 
 With 25 bands of 4 samples a pair of similarity 0.8 shares no band with probability 2e-6; the sketch
-threshold lies six standard deviations below 0.8.
+threshold lies five standard deviations below 0.8.
 """
 
 from __future__ import annotations
@@ -37,8 +37,10 @@ BITS = 512
 BLOCK = 1024
 # Similarity as a fraction, so that confirming needs integers only.
 SIMILAR = (80, 100)
-# The estimate below which a pair is not confirmed: 0.8 less six standard deviations of SAMPLES.
-LEAST_ESTIMATE = 0.8 - 6 * (0.8 * 0.2 / SAMPLES) ** 0.5
+# Rows of crowded buckets that one group of a task holds.
+TASK_ROWS = 20_000
+# The estimate below which a pair is not confirmed: 0.8 less five standard deviations of SAMPLES.
+LEAST_ESTIMATE = 0.8 - 5 * (0.8 * 0.2 / SAMPLES) ** 0.5
 # The XOR population count that stands for it: of 2 * SAMPLES * (1 - J) differing samples.
 MOST_BITS = int(BITS / 2 * (1 - np.exp(-2 * (2 * SAMPLES * (1 - LEAST_ESTIMATE)) / BITS))) + 1
 
@@ -164,32 +166,76 @@ def components(links: DataFrame, keep) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def _pairs_of_block(best_only: bool):
-    """Pairs of different components in a block (or between two) that sizes and sketches let pass."""
-
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        sketch = np.stack(block["sketch"].to_numpy()).view(np.uint64)
-        size, node, component = (block[c].to_numpy() for c in ("n", "node", "component"))
-        side, same = block["side"].to_numpy(), bool(block["same"].iloc[0])
-        left = np.flatnonzero(side == 0)
-        right = left if same else np.flatnonzero(side == 1)
-        found: list[tuple[int, int]] = []
-        for i in left:
-            near = right[component[right] != component[i]]
-            near = near[(SIMILAR[1] * size[near] >= SIMILAR[0] * size[i]) & (SIMILAR[1] * size[i] >= SIMILAR[0] * size[near])]
-            if same:
-                near = near[near > i]
-            if not len(near):
+def _blocks(task: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """The blocks of buckets that a task holds, one after the other."""
+    task = task.sort_values(["key", "lower", "upper"], ignore_index=True)
+    names = task[["key", "lower", "upper"]].to_numpy()
+    cuts = np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1
+    for start, end in zip([0, *cuts], [*cuts, len(task)]):
+        yield task.iloc[start:end]
+
+
+def _pairs(block: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of a block in pairs, with the bits that differ: pairs of different components that sizes
+    and sketches let pass, and whose first common band is the one of this bucket (so that no pair
+    is looked at in several buckets)."""
+    size, component, side = (block[c].to_numpy() for c in ("n", "component", "side"))
+    sketch, keys = (np.stack(block[c].to_numpy()) for c in ("sketch", "keys"))
+    sketch, band = sketch.view(np.uint64), int(np.flatnonzero(keys[0] == block["key"].iloc[0])[0])
+    same = bool(block["same"].iloc[0])
+    right = np.arange(len(block)) if same else np.flatnonzero(side == 1)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for i in range(len(block)) if same else np.flatnonzero(side == 0):
+        near = right[right > i] if same else right
+        near = near[component[near] != component[i]]
+        near = near[(SIMILAR[1] * size[near] >= SIMILAR[0] * size[i]) & (SIMILAR[1] * size[i] >= SIMILAR[0] * size[near])]
+        bits = np.bitwise_count(sketch[near] ^ sketch[i]).sum(axis=1)
+        near, bits = near[bits <= MOST_BITS], bits[bits <= MOST_BITS]
+        first = (keys[near] == keys[i]).argmax(axis=1) == band
+        if first.any():
+            found.append((np.full(int(first.sum()), i), near[first], bits[first]))
+    if not found:
+        return (np.zeros(0, dtype=np.int64),) * 3
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _promising(task: pd.DataFrame) -> pd.DataFrame:
+    """The rows that are in a pair at all: only their sets are fetched."""
+    kept = []
+    for block in _blocks(task):
+        if block["component"].nunique() > 1:
+            left, right, _ = _pairs(block)
+            kept.append(block.iloc[np.union1d(left, right)])
+    return pd.concat(kept) if kept else task.iloc[:0]
+
+
+def _linked(task: pd.DataFrame) -> pd.DataFrame:
+    """Links that join components, at most one less than a block has rows: pairs are confirmed on
+    the full sets, the likeliest first, and skipped once other links have joined them."""
+    links: list[tuple[int, int]] = []
+    for block in _blocks(task):
+        left, right, bits = _pairs(block)
+        node, members = block["node"].to_numpy(), block["members"].to_numpy()
+        root = {c: c for c in block["component"]}
+
+        def top(c: int, root=root) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        component = block["component"].to_numpy()
+        for at in np.argsort(bits, kind="stable"):
+            i, j = left[at], right[at]
+            a, b = top(component[i]), top(component[j])
+            if a == b:
                 continue
-            bits = np.bitwise_count(sketch[near] ^ sketch[i]).sum(axis=1)
-            ok = bits <= MOST_BITS
-            near, bits = near[ok], bits[ok]
-            if best_only and len(near):
-                near = near[[bits.argmin()]]
-            found += [(min(node[i], node[j]), max(node[i], node[j])) for j in near]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return run
+            x, y = members[i].view(np.uint64), members[j].view(np.uint64)
+            places = np.minimum(np.searchsorted(x, y), len(x) - 1)
+            shared = int(np.count_nonzero(x[places] == y))
+            if SIMILAR[1] * shared >= SIMILAR[0] * (len(x) + len(y) - shared):
+                root[max(a, b)] = min(a, b)
+                links.append((int(min(node[i], node[j])), int(max(node[i], node[j]))))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
 def near_duplicates(docs: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -254,37 +300,32 @@ def near_duplicates(docs: DataFrame, width: int, doc_id: str = "doc_id", text: s
     links = confirmed(stars.filter(near).select("a", "b"))
     joined = components(links, folder.keep)
 
-    # Rounds two and three: what is left in buckets of several components.
-    for best_only in (True, False):
-        placed = bucketed.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        open_keys = placed.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        ).filter("low < high")
-        left = folder.keep(placed.join(open_keys.select("key"), "key").select("key", "crowd", "node", "component"))
-        if left.isEmpty():
-            break
-        n_blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
-        blocks = (
-            left.join(parts, "node")
-            .withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-            .select(
-                "key",
-                F.least("block", "other").alias("lower"),
-                F.greatest("block", "other").alias("upper"),
-                (F.col("block") > F.col("other")).cast("int").alias("side"),
-                (F.col("block") == F.col("other")).alias("same"),
-                "node",
-                "n",
-                "sketch",
-                "component",
-            )
+    # Round two: what is left in buckets of several components.
+    placed = bucketed.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    left = folder.keep(placed.join(open_keys.select("key"), "key").select("key", "crowd", "node", "component"))
+    n_blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
+    blocks = (
+        left.withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        .select(
+            "key",
+            F.least("block", "other").alias("lower"),
+            F.greatest("block", "other").alias("upper"),
+            (F.col("block") > F.col("other")).cast("int").alias("side"),
+            (F.col("block") == F.col("other")).alias("same"),
+            "node",
+            "component",
         )
-        pairs = blocks.groupBy("key", "lower", "upper").applyInPandas(_pairs_of_block(best_only), "a long, b long")
-        more = confirmed(pairs.distinct())
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            joined = components(links, folder.keep)
+        .join(classes.select("node", "n", "sketch", "keys"), "node")
+    )
+    # Many small buckets make one group of rows.
+    n_tasks = left.count() // TASK_ROWS + 1
+    spread = blocks.withColumn("task", F.pmod(F.xxhash64("key", "lower", "upper"), F.lit(n_tasks)))
+    promising = spread.groupBy("task").applyInPandas(_promising, spread.schema)
+    with_sets = promising.join(members.select(F.col("doc_id").alias("node"), "members"), "node")
+    more = folder.keep(with_sets.groupBy("task").applyInPandas(_linked, "a long, b long"))
+    joined = components(links.unionByName(more), folder.keep)
 
     named = classes.join(joined, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     result = measured.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
