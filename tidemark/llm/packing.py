@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -34,6 +35,10 @@ MEMO = 500_000
 BLOCK = 1024
 # Parts (tasks of pass one) whose first places may be broadcast; a row takes 16 bytes.
 BROADCAST_PARTS = 1_000_000
+# Marks that may follow a word; none is a letter or a number.
+MARKS = ".,;:!?|)\""
+# New words that are encoded as one text.
+JOINED = 500
 # str.split() also parts at these four, which are no white space to the tokenizer.
 CONTROL = re.compile("[\x1c-\x1f]")
 PIECE = re.compile(f"[^{SPACE}]+")
@@ -43,7 +48,9 @@ class Pieces:
     """Ids of texts by a tokenizer file whose pre-tokens never cross white space.
 
     Normalising, splitting and merging then happen within the pieces between white space, so each
-    different piece is given to the tokenizer once and remembered, up to ``MEMO`` pieces.
+    different piece is encoded once and remembered, up to ``MEMO`` pieces. Letters and the marks
+    after them are different pre-tokens and case does not count, so a new piece of letters is put
+    together from its word in lower case and its marks.
     """
 
     def __init__(self, path: str) -> None:
@@ -53,17 +60,53 @@ class Pieces:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    @staticmethod
+    def _parts(piece: str) -> tuple[str, str]:
+        """Two strings whose ids make up those of the piece."""
+        word = piece.rstrip(MARKS)
+        # A capital sigma becomes one of two letters, by its place for Python but not for the tokenizer.
+        if word.isalpha() and "\u03a3" not in word:
+            return word.lower(), piece[len(word) :]
+        return piece, ""
+
+    def _learn(self, new: list[str]) -> None:
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+        if len(self.parts) > MEMO:
+            self.parts.clear()
+        parted = list(map(self._parts, new))
+        unknown = set(chain.from_iterable(parted)).difference(self.parts)
+        words = [part for part in unknown if part.isalpha()]
+        for at in range(0, len(words), JOINED):
+            self._learn_words(words[at : at + JOINED])
+        others = list(unknown.difference(self.parts))
+        for part, encoding in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+            self.parts[part] = array("I", encoding.ids).tobytes()
+        for piece, (word, marks) in zip(new, parted):
+            self.memo[piece] = self.parts[word] + self.parts[marks]
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words of letters are a pre-token each, so many can be encoded as one text."""
+        encoding = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = array("I", encoding.ids).tobytes()
+        starts = np.flatnonzero(np.diff(np.array(encoding.word_ids), prepend=-1))
+        ends = np.append(starts[1:], len(ids) // 4)
+        self.parts.update(zip(words, (ids[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())), strict=True))
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers, then ``end``."""
         parted = [PIECE.findall(t) if CONTROL.search(t) else t.split() for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        new = list(set(chain.from_iterable(parted)).difference(self.memo))
-        for piece, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.memo[piece] = np.array(encoding.ids, dtype="<u4").tobytes()
-        known = self.memo.__getitem__
-        return [b"".join(map(known, pieces)) + end for pieces in parted]
+        found = [list(map(self.memo.get, pieces)) for pieces in parted]
+        open_texts = [i for i, ids in enumerate(found) if None in ids]
+        if open_texts:
+            # Also what was found: learning may clear the memo.
+            pieces = set(chain.from_iterable(parted[i] for i in open_texts))
+            self._learn(list(pieces if len(self.memo) > MEMO else pieces.difference(self.memo)))
+            for i in open_texts:
+                found[i] = list(map(self.memo.__getitem__, parted[i]))
+        return [b"".join(ids) + end for ids in found]
 
 
 @lru_cache(maxsize=2)
