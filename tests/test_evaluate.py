@@ -104,6 +104,25 @@ def test_sweep_equals_one_pass_per_point(spark, points):
         assert row["loss"] == 15 * want["fn"] + want["fp"]
 
 
+def test_rows_without_a_score_or_a_label_take_no_part(spark):
+    full = [(1, 0.9), (0, 0.1), (1, 0.4), (0, 0.6)]
+    holes = full + [(0, None), (1, None), (None, 0.95)]
+    a, b = (spark.createDataFrame(d, "label int, score double") for d in (full, holes))
+    for run in (evaluate.auc, evaluate.roc_curve, evaluate.threshold_sweep, evaluate.best_cutoff, lambda d: evaluate.confusion(d, 0.5)):
+        assert sorted(map(tuple, run(a).collect())) == sorted(map(tuple, run(b).collect()))
+    assert evaluate.halving_cutoff(a) == evaluate.halving_cutoff(b)
+
+
+def test_margins_need_their_span(spark):
+    df = spark.createDataFrame([(1, 0.5), (1, -1.0), (0, -1.5), (0, -3.0)], "label int, score double")
+    best = evaluate.best_cutoff(df, span=(-4.0, 4.0)).first()
+    assert best["loss"] == 0 and -1.5 <= best["cutoff"] < -1.0
+    with pytest.raises(Exception, match="outside"):
+        evaluate.best_cutoff(df).collect()
+    with pytest.raises(Exception, match="outside"):
+        evaluate.halving_cutoff(df)
+
+
 def walk(data, penalty):
     """Halving with a full pass per step."""
     def cost(cutoff):

@@ -174,3 +174,12 @@ def test_exploration_helpers(spark):
     assert rows(explore.shape(df)) == [(3, 3)]
     profile = rows(explore.range_profile(df, ["k", "indicator"]))
     assert profile == [("indicator", 0.0, 1.0, True), ("k", 1.0, 2.0, False)]
+
+
+def test_decimals_are_summed_and_any_script_has_words(spark):
+    from tidemark.functions.text import wordless_to
+
+    df = spark.sql("SELECT CAST(1.25 AS DECIMAL(12,2)) AS d, 2 AS i, 'x' AS t, true AS b")
+    assert explore.column_sums(df).columns == ["d", "i"] and float(explore.column_sums(df).first()[0]) == 1.25
+    roles = spark.createDataFrame([("актёр",), ("--",), (None,)], "role string")
+    assert [r[0] for r in roles.select(wordless_to(F.col("role"))).collect()] == ["актёр", "None", "None"]

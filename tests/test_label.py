@@ -128,7 +128,12 @@ def test_first_seen_keeps_copies_of_the_first_batch(spark):
         [("a", 1, "x"), ("a", 1, "x"), ("a", 2, "y"), ("b", 2, "z"), (None, 1, "n"), (None, 2, "n")],
         "k string, day int, v string",
     )
-    assert rows(first_seen(df, ["k"], "day")) == [("a", 1, "x"), ("a", 1, "x"), ("b", 2, "z"), (None, 1, "n")]
+    assert rows(first_seen(df, ["k"], "day")) == [
+        ("a", 1, "x"), ("a", 1, "x"), ("b", 2, "z"), (None, 1, "n"), (None, 2, "n"),
+    ]
+    # A NULL equals nothing: such rows are new in every batch.
+    gaps = spark.createDataFrame([("a", 1), (None, 1), (None, 2), ("a", 2)], "k string, day int")
+    assert rows(first_seen(gaps, ["k"], "day")) == [("a", 1), (None, 1), (None, 2)]
 
 
 def test_keep_first_takes_the_lowest(spark):

@@ -124,7 +124,7 @@ def test_csv_export_is_replaced_and_survives_quotes_and_breaks(spark, tmp_path):
 
 
 def day_batches(spark):
-    data = [("a", 1, 8), ("a", 1, 8), ("b", 2, 8), ("b", 3, 9), ("c", 4, 9), ("c", 4, 9), (None, 5, 9), ("a", 6, 10), ("d", 7, 10)]
+    data = [("a", 1, 8), ("a", 1, 8), ("b", 2, 8), ("b", 3, 9), ("c", 4, 9), ("c", 4, 9), (None, 5, 9), (None, 5, 9), ("a", 6, 10), ("d", 7, 10), (None, 8, 10)]
     return spark.createDataFrame(
         [(k, v, dt.date(2018, 9, d)) for k, v, d in data], "k string, v int, snapshot_date date"
     )
@@ -155,6 +155,14 @@ def test_streamed_days_equal_the_closed_form(spark, tmp_path):
     assert rows(stored, "k", "v") == rows(first_seen(all_days, ["k"], "snapshot_date"), "k", "v")
 
 
+def test_days_in_one_micro_batch_give_the_same_rows(spark, tmp_path):
+    source, all_days = str(tmp_path / "in"), day_batches(spark)
+    all_days.repartition(3).write.parquet(source)
+    load_new_days(spark, source, all_days.schema, str(tmp_path / "t"), ["k"], str(tmp_path / "c")).awaitTermination()
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert rows(stored, "k", "v") == rows(first_seen(all_days, ["k"], "snapshot_date"), "k", "v")
+
+
 def test_tables_batches_and_views(spark):
     tables.create_schema(spark, "working")
     for name in ("working.perf", "working.staged"):

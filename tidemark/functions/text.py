@@ -16,8 +16,8 @@ def empty_to(text: Column, default: str) -> Column:
 
 
 def wordless_to(text: Column, default: str = "None") -> Column:
-    """Texts without a single word character become ``default``; NULL too."""
-    return F.when(F.coalesce(text, F.lit("")).rlike(r"\w"), text).otherwise(F.lit(default))
+    """Texts without a single word character, in any script, become ``default``; NULL too."""
+    return F.when(F.coalesce(text, F.lit("")).rlike(r"(?U)\w"), text).otherwise(F.lit(default))
 
 
 def contains_ignoring_case(text: Column, phrase: str) -> Column:

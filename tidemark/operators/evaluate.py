@@ -1,7 +1,8 @@
 """Scores against labels: AUC, confusion cells, losses, cut-offs, calibration.
 
 Every function takes a long frame with ``label`` (0/1) and ``score`` and optional
-grouping columns such as ``model`` and ``split``.
+grouping columns such as ``model`` and ``split``.  Rows without a label or a score
+take no part anywhere.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.binning import equal_width_bin, grid_slot
@@ -20,9 +21,14 @@ FN_PENALTY = 15
 HALVING_TOLERANCE = 0.0005
 
 
+def known(scored: DataFrame) -> DataFrame:
+    """The rows that have both a label and a score."""
+    return scored.filter(F.col("label").isNotNull() & F.col("score").isNotNull())
+
+
 def score_counts(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score."""
-    return scored.groupBy(*by, "score").agg(
+    return known(scored).groupBy(*by, "score").agg(
         F.sum((F.col("label") == 1).cast("long")).alias("pos"),
         F.sum((F.col("label") == 0).cast("long")).alias("neg"),
     )
@@ -82,7 +88,7 @@ def roc_curve(scored: DataFrame, by: Sequence[str] = (), pos_label: int = 1) ->
     """
     by = list(by)
     ranked = _ranked(scored, by)
-    totals = scored.groupBy(*by).agg(
+    totals = known(scored).groupBy(*by).agg(
         F.sum((F.col("label") == 1).cast("long")).alias("_p"),
         F.sum((F.col("label") == 0).cast("long")).alias("_n"),
     )
@@ -106,7 +112,7 @@ def confusion(scored: DataFrame, cutoff: float | DataFrame, by: Sequence[str] =
     """
     limit = cutoff.scalar() if isinstance(cutoff, DataFrame) else F.lit(float(cutoff))
     guess, truth = F.col("score") > limit, F.col("label") == 1
-    cells = scored.groupBy(*by).agg(
+    cells = known(scored).groupBy(*by).agg(
         F.sum((~guess & ~truth).cast("long")).alias("tn"),
         F.sum((guess & ~truth).cast("long")).alias("fp"),
         F.sum((~guess & truth).cast("long")).alias("fn"),
@@ -152,18 +158,30 @@ def prior_cutoff(scored: DataFrame) -> DataFrame:
     return scored.agg(F.avg(F.col("label").cast("double")))
 
 
+def _within(span: tuple[float, float]) -> Column:
+    """The score, or an error where it is outside ``span``: a search there would never see it."""
+    score = F.col("score")
+    outside = F.concat(F.lit(f"score outside {list(span)}, give the span of these scores: "), score.cast("string"))
+    return F.when(score.isNull() | score.between(*span), score).otherwise(F.raise_error(outside))
+
+
 def threshold_sweep(
-    scored: DataFrame, points: int = 101, by: Sequence[str] = (), fn_penalty: float = FN_PENALTY
+    scored: DataFrame,
+    points: int = 101,
+    by: Sequence[str] = (),
+    fn_penalty: float = FN_PENALTY,
+    span: tuple[float, float] = (0.0, 1.0),
 ) -> DataFrame:
-    """Confusion cells and loss at every cut-off of an even grid on [0, 1], in one pass.
+    """Confusion cells and loss at every cut-off of an even grid on ``span``, in one pass.
 
     A score is put between two grid points and counted there; the cells at a
     cut-off follow from running totals over at most ``points + 1`` slots.
     """
-    step = 1.0 / (points - 1)
-    slot = F.least(F.greatest(grid_slot(F.col("score"), 0.0, step), F.lit(0)), F.lit(points))
+    low, high = map(float, span)
+    step = (high - low) / (points - 1)
+    slot = F.least(F.greatest(grid_slot(F.col("score"), low, step), F.lit(0)), F.lit(points))
     # slot = number of grid points below the score, so it beats cut-offs 0..slot-1.
-    slots = scored.select(*by, "label", (slot).alias("slot")).filter(F.col("slot").isNotNull())
+    slots = known(scored).select(*by, "label", slot.alias("slot"))
     counts = slots.groupBy(*by, "slot").agg(
         F.sum((F.col("label") == 1).cast("long")).alias("pos"),
         F.sum((F.col("label") == 0).cast("long")).alias("neg"),
@@ -192,7 +210,7 @@ def threshold_sweep(
         (F.sum("neg").over(whole) + F.col("neg0")).alias("_n"),
     )
     last = points - 1
-    cutoff = F.when(F.col("point") == last, F.lit(1.0)).otherwise(F.col("point") * F.lit(step))
+    cutoff = F.when(F.col("point") == last, F.lit(high)).otherwise(F.lit(low) + F.col("point") * F.lit(step))
     cells = beaten.select(
         *by,
         cutoff.alias("cutoff"),
@@ -205,10 +223,19 @@ def threshold_sweep(
 
 
 def best_cutoff(
-    scored: DataFrame, by: Sequence[str] = (), fn_penalty: float = FN_PENALTY, points: int = 2001
+    scored: DataFrame,
+    by: Sequence[str] = (),
+    fn_penalty: float = FN_PENALTY,
+    points: int = 2001,
+    span: tuple[float, float] = (0.0, 1.0),
 ) -> DataFrame:
-    """The grid cut-off with the smallest loss; ties go to the smallest cut-off."""
-    sweep = threshold_sweep(scored, points, by, fn_penalty)
+    """The grid cut-off with the smallest loss; ties go to the smallest cut-off.
+
+    The span is that of probabilities; margins need one of their own, and a
+    score outside it is an error.
+    """
+    inside = scored.withColumn("score", _within(span))
+    sweep = threshold_sweep(inside, points, by, fn_penalty, span)
     best = F.min_by(F.struct("cutoff", "loss", "loss_per_row"), F.struct("loss", "cutoff"))
     return sweep.groupBy(*by).agg(best.alias("_b")).select(*by, "_b.*")
 
@@ -238,7 +265,7 @@ def halving_cutoff(scored: DataFrame, fn_penalty: float = FN_PENALTY) -> tuple[f
     # Bucketizer ranges are closed on the left; on negated scores that is the
     # right side, which makes "score > cutoff" strict.
     edges = [-float("inf"), *[-c for c in reversed(cutoffs)], float("inf")]
-    negated = scored.select("label", (-F.col("score")).alias("_s"))
+    negated = known(scored).select("label", (-_within((0.0, 1.0))).alias("_s"))
     placed = Bucketizer(splits=edges, inputCol="_s", outputCol="_slot").transform(negated)
     rows = placed.groupBy(F.col("_slot").cast("int").alias("slot")).agg(
         F.sum((F.col("label") == 1).cast("long")).alias("pos"),

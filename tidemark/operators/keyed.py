@@ -71,10 +71,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 def first_seen(df: DataFrame, keys: Sequence[str], batch: str) -> DataFrame:
     """All rows of the earliest batch that holds their key (duplicates in it survive).
 
-    The closed form of inserting batch after batch the rows with absent keys.
+    The closed form of inserting batch after batch the rows with absent keys: a key with a NULL in
+    it equals nothing, so its rows are new in every batch.
     """
-    earliest = df.groupBy(*keys).agg(F.min(batch).alias("_first"))
-    return _join_null_safe(df, earliest, keys).filter(F.col(batch) == F.col("_first")).drop("_first")
+    earliest = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.min(batch).alias("_first"))
+    joined = df.join(earliest, list(keys), "left")
+    return joined.filter(F.col("_first").isNull() | (F.col(batch) == F.col("_first"))).select(*df.columns)
 
 
 def count_over(df: DataFrame, keys: Sequence[str], counts: dict[str, str]) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tidemark.functions.binning import edge_bin, equal_width_bin, spread_bounds
 from tidemark.functions.dates import local_date, snapshot_day
@@ -214,7 +215,7 @@ def role_counts(acts: DataFrame) -> DataFrame:
 
 def column_sums(df: DataFrame) -> DataFrame:
     """Sum of every numeric column, one row."""
-    numeric = [f.name for f in df.schema.fields if f.dataType.typeName() in _NUMERIC]
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     return df.agg(*[F.sum(c).alias(c) for c in numeric])
 
 
@@ -300,5 +301,3 @@ def top_event_rates(rates: DataFrame, n: int = 10) -> DataFrame:
     best = top_levels(rates, "event_id", F.avg("event_listing_n"), n)
     return rates.join(best.select("event_id"), "event_id", "left_semi")
 
-
-_NUMERIC = {"byte", "short", "integer", "long", "float", "double", "boolean"} - {"boolean"}

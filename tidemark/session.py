@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,18 +29,20 @@ def get_session(app: str = "tidemark", master: str | None = None, **extra: str)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a scratch folder only for local runs."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_scratch()
-
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+    Where that is not set, as in tests, it is set to a new folder in the
+    warehouse, which executors share too; it goes when the session ends.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staged-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root
 
 
 def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
