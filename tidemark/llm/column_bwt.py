@@ -37,8 +37,10 @@ from tidemark.session import checkpoint_root
 LENGTH = 50
 GRAM = 25
 # Anchors that a map task packs at a time, and bytes of input for each range of hashes.
-PACKED = 1_000_000
+PACKED = 250_000
 RANGE_BYTES = 8_000_000
+# Pieces that a task holds before it hands them on, and documents that it cuts at a time.
+HELD, CUT = 50_000, 500
 # Places for each collection.
 COLLECTION = 40_000
 STEP = 1 << 19
@@ -146,22 +148,28 @@ def _repeated(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _pieces(n_collections: int):
+    def flush(held: dict[tuple[int, bytes], list]) -> pd.DataFrame:
+        return pd.DataFrame(
+            {
+                "collection": [group for group, _ in held],
+                "piece": [piece for _, piece in held],
+                # Document and first byte in turn.
+                "places": [np.array(places, dtype=np.int64).tobytes() for places in held.values()],
+            }
+        )
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple[int, bytes], list] = defaultdict(list)
         for batch in batches:
-            held: dict[tuple[int, bytes], list] = defaultdict(list)
             for doc, text, anchor, loc in zip(batch["doc_id"], batch["text"], batch["anchors"], batch["locs"]):
                 data = text.encode("utf-8", "surrogatepass")
                 groups = (anchor.view(np.uint64) % np.uint64(n_collections)).tolist()
                 for group, start, runs in zip(groups, (loc // 64).tolist(), (loc % 64).tolist()):
                     held[group, data[start : start + LENGTH - 1 + runs]] += (doc, start)
-            yield pd.DataFrame(
-                {
-                    "collection": [group for group, _ in held],
-                    "piece": [piece for _, piece in held],
-                    # Document and first byte in turn.
-                    "places": [np.array(places, dtype=np.int64).tobytes() for places in held.values()],
-                }
-            )
+                if len(held) > HELD:
+                    yield flush(held)
+                    held.clear()
+        yield flush(held)
 
     return run
 
@@ -259,7 +267,7 @@ def _judged(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in (whole.iloc[at : at + CUT] for whole in batches for at in range(0, len(whole), CUT)):
         kept, spans, sizes = [], [], []
         for text, packed in zip(batch["text"], batch["spans"]):
             data = text.encode("utf-8", "surrogatepass")
