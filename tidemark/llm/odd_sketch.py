@@ -38,7 +38,7 @@ BLOCK = 1024
 # Similarity as a fraction, so that confirming needs integers only.
 SIMILAR = (80, 100)
 # Rows of crowded buckets that one group of a task holds.
-TASK_ROWS = 20_000
+TASK_ROWS = 4_000
 # The estimate below which a pair is not confirmed: 0.8 less five standard deviations of SAMPLES.
 LEAST_ESTIMATE = 0.8 - 5 * (0.8 * 0.2 / SAMPLES) ** 0.5
 # The XOR population count that stands for it: of 2 * SAMPLES * (1 - J) differing samples.
