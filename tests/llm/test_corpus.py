@@ -84,6 +84,26 @@ def test_blocks_and_rounds_lose_no_link(spark, monkeypatch):
     assert_groups(frame(spark, texts), list(enumerate(texts)), 2)
 
 
+def test_a_stray_in_a_crowded_bucket_makes_no_large_group(spark, monkeypatch, tmp_path):
+    """Many copies of one component share their buckets with a class that is in none."""
+    monkeypatch.setattr(odd_sketch, "BLOCK", 4)
+    monkeypatch.setattr(odd_sketch, "TASK_ROWS", 50)
+    whole = odd_sketch._promising
+
+    def logged(task):
+        with open(f"{tmp_path}/{task['task'].iloc[0]}", "w") as log:
+            log.write(str(len(task)))
+        return whole(task)
+
+    monkeypatch.setattr(odd_sketch, "_promising", logged)
+    base = [f"w{i}" for i in range(100)]
+    texts = [" ".join(base)] + [" ".join([*base[:k], f"v{k}-{j}", *base[k + 1 :]]) for k in range(10) for j in range(20)]
+    texts.append(" ".join([*base[:80], *(f"u{i}" for i in range(20))]))
+    assert_groups(frame(spark, texts), list(enumerate(texts)), 2)
+    sizes = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert sizes and max(sizes) <= 250
+
+
 def test_near_duplicates_of_nulls_and_repeats(spark):
     long = " ".join(f"x{i}" for i in range(5000))
     df = frame(spark, ["a b c", "a b c", long, long + " y", "a b c"], [7, 7, 8, 9, None])

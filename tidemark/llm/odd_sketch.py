@@ -7,9 +7,11 @@
 2. Texts of equal sets are one class, held by its smallest doc_id. Only classes go on.
 3. Classes that share a band key are candidates. They are not paired with each other: round one
    pairs each with the smallest class of its bucket. Round two takes only buckets that still hold
-   several components. It compares their sketches in blocks of ``BLOCK`` classes, fetches the sets
-   of the classes that are in a possible pair of different components at all, and puts out only
-   links that join components, fewer than the classes of the block.
+   several components. The classes outside a bucket's largest component meet each other and that
+   component, in blocks of ``BLOCK`` classes; groups of blocks are sized by the rows they hold. It
+   compares sketches, fetches the sets of the classes that are in a possible pair of different
+   components at all, and puts out only links that join components, fewer than the classes of the
+   block.
 4. Links are confirmed on the full sets, and make components by alternating star contractions, each
    step a table in the shared folder.
 
@@ -37,8 +39,9 @@ BITS = 512
 BLOCK = 1024
 # Similarity as a fraction, so that confirming needs integers only.
 SIMILAR = (80, 100)
-# Rows of crowded buckets that one group of a task holds.
+# Rows of crowded buckets that one group of a task holds, and shingles of the sets it confirms on.
 TASK_ROWS = 4_000
+TASK_SHINGLES = 2_000_000
 # The estimate below which a pair is not confirmed: 0.8 less five standard deviations of SAMPLES.
 LEAST_ESTIMATE = 0.8 - 5 * (0.8 * 0.2 / SAMPLES) ** 0.5
 # The XOR population count that stands for it: of 2 * SAMPLES * (1 - J) differing samples.
@@ -267,7 +270,7 @@ def near_duplicates(docs: DataFrame, width: int, doc_id: str = "doc_id", text: s
     )
     keyed = classes.select("node", F.explode("keys").alias("key"))
     hubs = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("crowd")).filter("crowd > 1")
-    bucketed = folder.keep(keyed.join(hubs, "key"))
+    bucketed = folder.keep(keyed.join(hubs.select("key", "hub"), "key"))
     parts = classes.select("node", "n", "sketch")
     members = folder.keep(
         texts.join(bucketed.select(F.col("node").alias("doc_id")).distinct(), "doc_id").mapInPandas(
@@ -303,11 +306,34 @@ def near_duplicates(docs: DataFrame, width: int, doc_id: str = "doc_id", text: s
     # Round two: what is left in buckets of several components.
     placed = bucketed.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    left = folder.keep(placed.join(open_keys.select("key"), "key").select("key", "crowd", "node", "component"))
-    n_blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
+    left = folder.keep(placed.join(open_keys.select("key"), "key").select("key", "node", "component"))
+    # Pairs within one component are no use: the classes outside a bucket's largest component meet
+    # each other and that component, whose own blocks do not meet.
+    held = left.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"))
+    largest = held.groupBy("key").agg(F.sum("held").alias("crowd"), F.max(F.struct("held", "component")).alias("largest"))
+    n_inside = F.ceil(F.col("largest.held") / BLOCK).cast("int")
+    n_outside = F.ceil((F.col("crowd") - F.col("largest.held")) / BLOCK).cast("int")
+    split = largest.select("key", F.col("largest.component").alias("main"), n_inside.alias("n_in"), n_outside.alias("n_out"))
+    inside = F.col("component") == F.col("main")
+    # The blocks of the others come first.
+    sided_left = left.join(split, "key").select(
+        "key",
+        "node",
+        "component",
+        F.when(inside, F.col("n_out") + F.pmod(F.xxhash64("node"), "n_in"))
+        .otherwise(F.pmod(F.xxhash64("node"), "n_out"))
+        .cast("int")
+        .alias("block"),
+        F.when(inside, F.col("n_out")).otherwise(F.col("n_out") + F.col("n_in")).alias("n_others"),
+    )
+    # Many small buckets make one group of rows, counted as they are once each meets its others.
+    n_rows = held.join(split, "key").agg(
+        F.sum(F.col("held") * F.when(inside, F.col("n_out")).otherwise(F.col("n_out") + F.col("n_in")))
+    )
+    n_tasks = (n_rows.first()[0] or 0) // TASK_ROWS + 1
     blocks = (
-        left.withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        sided_left.join(classes.select("node", "n", "sketch", "keys"), "node")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_others") - 1)))
         .select(
             "key",
             F.least("block", "other").alias("lower"),
@@ -316,14 +342,17 @@ def near_duplicates(docs: DataFrame, width: int, doc_id: str = "doc_id", text: s
             (F.col("block") == F.col("other")).alias("same"),
             "node",
             "component",
+            "n",
+            "sketch",
+            "keys",
         )
-        .join(classes.select("node", "n", "sketch", "keys"), "node")
     )
-    # Many small buckets make one group of rows.
-    n_tasks = left.count() // TASK_ROWS + 1
     spread = blocks.withColumn("task", F.pmod(F.xxhash64("key", "lower", "upper"), F.lit(n_tasks)))
-    promising = spread.groupBy("task").applyInPandas(_promising, spread.schema)
-    with_sets = promising.join(members.select(F.col("doc_id").alias("node"), "members"), "node")
+    promising = folder.keep(spread.groupBy("task").applyInPandas(_promising, spread.schema))
+    # Dealt anew by the size of the sets.
+    n_tasks = (promising.agg(F.sum("n")).first()[0] or 0) // TASK_SHINGLES + 1
+    again = promising.withColumn("task", F.pmod(F.xxhash64("key", "lower", "upper"), F.lit(n_tasks)))
+    with_sets = again.join(members.select(F.col("doc_id").alias("node"), "members"), "node")
     more = folder.keep(with_sets.groupBy("task").applyInPandas(_linked, "a long, b long"))
     joined = components(links.unionByName(more), folder.keep)
 
