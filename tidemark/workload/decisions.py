@@ -11,6 +11,7 @@ from tidemark.workload.market import Market
 from tidemark.workload.registry import Registry, rounded
 
 REGISTRY = Registry()
+MODELS = ("price", "discount")
 
 SCORED = """
 returned AS (
@@ -168,10 +169,11 @@ def best_cutoff(m: Market) -> DataFrame:
 
 @REGISTRY.add()
 def halving_cutoff(m: Market) -> DataFrame:
-    """Cut-off by repeated halving; checked against a step-by-step search in the tests."""
-    cutoff, value = evaluate.halving_cutoff(one_model(m, "price"))
+    """Cut-off of each model by repeated halving; checked against a step-by-step search in the tests."""
+    found = {name: evaluate.halving_cutoff(one_model(m, name)) for name in MODELS}
     total = m.table("lineitem").agg(F.count(F.lit(1)).alias("n_rows"))
-    return total.select("n_rows", F.lit(cutoff).alias("cutoff"), F.lit(value).alias("loss_per_row"))
+    rows = [F.struct(F.lit(k).alias("model"), F.lit(c).alias("cutoff"), F.lit(v).alias("loss_per_row")) for k, (c, v) in found.items()]
+    return total.select("n_rows", F.explode(F.array(*rows)).alias("m")).select("n_rows", "m.*")
 
 
 @REGISTRY.add(with_scores("""
@@ -199,6 +201,59 @@ def model_comparison(m: Market) -> DataFrame:
     return rounded(table, "train_auc", "holdout_auc")
 
 
+# The same over all models; the queries above take one each.
+@REGISTRY.add(with_scores("""
+WITH c AS (SELECT model, score, sum(label) AS p, sum(1 - label) AS n FROM scored GROUP BY model, score),
+t AS (SELECT model, sum(p) AS tp, sum(n) AS tn FROM c GROUP BY model)
+SELECT model, score AS threshold, CAST(sum(n) OVER (PARTITION BY model ORDER BY score DESC) AS DOUBLE) / tn AS fpr,
+       CAST(sum(p) OVER (PARTITION BY model ORDER BY score DESC) AS DOUBLE) / tp AS tpr FROM c JOIN t USING (model)"""))
+def roc_points_by_model(m: Market) -> DataFrame:
+    return evaluate.roc_curve(scored(m), ["model"])
+
+
+@REGISTRY.add(with_scores("""
+WITH c AS (SELECT model, score, sum(label) AS p, sum(1 - label) AS n FROM scored GROUP BY model, score),
+t AS (SELECT model, sum(p) AS tp, sum(n) AS tn FROM c GROUP BY model)
+SELECT model, score AS threshold, CAST(sum(p) OVER (PARTITION BY model ORDER BY score DESC) AS DOUBLE) / tp AS fpr,
+       CAST(sum(n) OVER (PARTITION BY model ORDER BY score DESC) AS DOUBLE) / tn AS tpr FROM c JOIN t USING (model)"""))
+def roc_points_of_class_zero_by_model(m: Market) -> DataFrame:
+    return evaluate.roc_curve(scored(m), ["model"], pos_label=0)
+
+
+def best_sql(where: str = "TRUE") -> str:
+    """The best of 2,001 cut-offs of each model, from running counts: no crossing of scores and grid."""
+    return f"""
+counts AS (SELECT model, score, sum(label) AS p, sum(1 - label) AS n FROM scored WHERE {where} GROUP BY model, score),
+below AS (SELECT model, score, sum(p) OVER (PARTITION BY model ORDER BY score) AS fn,
+                 sum(n) OVER (PARTITION BY model ORDER BY score) AS tn FROM counts),
+totals AS (SELECT model, sum(p) AS p, sum(n) AS n FROM counts GROUP BY model),
+grid AS (SELECT model, p, n, CASE WHEN i = 2000 THEN 1.0::DOUBLE ELSE i * (1.0::DOUBLE / 2000) END AS cutoff
+         FROM totals, range(2001) x(i)),
+losses AS (SELECT g.model, cutoff, p + n AS total, CAST(15 * coalesce(fn, 0) + n - coalesce(tn, 0) AS DOUBLE) AS loss
+           FROM grid g ASOF LEFT JOIN below b ON g.model = b.model AND g.cutoff >= b.score),
+best AS (SELECT model, cutoff, loss, loss / total AS loss_per_row FROM losses
+         QUALIFY row_number() OVER (PARTITION BY model ORDER BY loss, cutoff) = 1)
+"""
+
+
+@REGISTRY.add(with_scores(f"WITH {best_sql()} SELECT * FROM best"))
+def best_cutoff_by_model(m: Market) -> DataFrame:
+    return evaluate.best_cutoff(scored(m), ["model"])
+
+
+@REGISTRY.add(with_scores(f"""
+WITH {AUC}, {best_sql("split = 'train'")},
+held AS (SELECT s.model, p.cutoff, p.loss_per_row AS train_loss,
+                sum(CASE WHEN s.label = 1 AND NOT s.score > p.cutoff THEN 15 WHEN s.label = 0 AND s.score > p.cutoff THEN 1 ELSE 0 END)
+                / count(*) AS holdout_loss
+         FROM scored s JOIN best p USING (model) WHERE split = 'holdout' GROUP BY ALL)
+SELECT h.model, round(t.auc, 6) AS train_auc, round(o.auc, 6) AS holdout_auc, h.cutoff, h.train_loss, h.holdout_loss
+FROM held h JOIN areas t ON t.model = h.model AND t.split = 'train'
+JOIN areas o ON o.model = h.model AND o.split = 'holdout'"""))
+def comparison_of_all_models(m: Market) -> DataFrame:
+    return rounded(evaluate.compare_models(scored(m)), "train_auc", "holdout_auc")
+
+
 @REGISTRY.add(with_scores("""
 WITH p AS (SELECT model, avg(CASE WHEN split = 'train' THEN score END) AS train,
                   avg(CASE WHEN split = 'holdout' THEN score END) AS holdout FROM scored GROUP BY model)
