@@ -16,8 +16,8 @@ strings of different documents together without one transform over everything:
    are neighbours; the least document of each run of common 50-byte prefixes decides for all.
 4. The strings that go are joined back to the documents as spans.
 
-Groups are sized by the input, so a task's arrays are bounded; the files that a single machine
-would read and write in each round are these groups' arrays.
+Groups are sized by the input on average only: all places of one anchor are in one group. The files
+that a single machine would read and write in each round are these groups' arrays.
 """
 
 from __future__ import annotations
