@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, column_bwt, host_rules, license_scan, line_dedup, multi_index, odd_sketch, packing, secret_ledger, toxicity
-from tidemark.llm.common import documents
+from tidemark.llm import best_fit, byte_bpe, column_bwt, host_rules, license_scan, line_dedup, multi_index, odd_sketch, packing, periodic_runs, secret_ledger, token_alignment, toxicity
+from tidemark.llm.common import documents, words_of
 
 
 def op1_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,6 +200,53 @@ SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM figures f LEFT JOIN broken b ON f.doc_id = b.doc_id
 """
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = F.when(h % 10 == 0, F.col("text"))
+    docs = documents(spark, sf_dir).select("doc_id", "text", words_of(chosen).alias("words"), h.alias("h"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    docs = docs.withColumns({"n": n, "a": F.when(n > 0, g % n), "g": g})
+    # Every word from a on is one of the p words from a on: they are written again and again, and cut to length.
+    tail = F.col("n") - F.col("a")
+    p = F.expr("1 + (n - a) div (3 + g % 8)")
+    again = F.flatten(F.array_repeat(F.slice("words", (F.col("a") + 1).cast("int"), p.cast("int")), F.ceil(tail / p).cast("int")))
+    planted = F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), F.slice(again, F.lit(1), tail.cast("int")))
+    texts = docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+    runs = periodic_runs.periodic_runs(texts)
+    # The greatest length to period, compared without division.
+    first = F.array_sort(
+        "runs",
+        lambda x, y: F.when(x["length"] * y["period"] != y["length"] * x["period"], F.signum(y["length"] * x["period"] - x["length"] * y["period"]).cast("int"))
+        .when(x["start"] != y["start"], F.signum(x["start"] - y["start"]).cast("int"))
+        .otherwise(F.signum(x["period"] - y["period"]).cast("int")),
+    )
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return runs.withColumn("best", F.get(first, F.lit(0))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.aligned(documents(spark, sf_dir), *paths).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps"
+    )
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = packing.tokenised(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    # The checksum is taken before the pieces are numbered, so that no ids are shuffled.
+    pieces = best_fit.pieces(tokens).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return best_fit.assigned(pieces)
+
+
 QUERIES = {
     "op1_odd_sketch": op1_odd_sketch,
     "op2_toxicity": op2_toxicity,
@@ -211,6 +258,9 @@ QUERIES = {
     "op8_multi_index": op8_multi_index,
     "op9_packing": op9_packing,
     "op10_host_rules": op10_host_rules,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_best_fit": op13_best_fit,
 }
 ORACLE = {
     "op4_line_dedup": OP4_SQL,
