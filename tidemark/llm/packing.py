@@ -16,22 +16,24 @@ import uuid
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import SPACE
+from tidemark.llm.common import Growing, steps
 from tidemark.session import checkpoint_root
 
 SEQUENCE = 2048
 END_ID = 1
-MEMO = 500_000
+# Characters of pieces a worker remembers, and the longest piece it does remember.
+MEMO = 16_000_000
+LONGEST = 64
 BLOCK = 1024
 # Parts (tasks of pass one) whose first places may be broadcast; a row takes 16 bytes.
 BROADCAST_PARTS = 1_000_000
@@ -39,74 +41,114 @@ BROADCAST_PARTS = 1_000_000
 MARKS = ".,;:!?|)\""
 # New words that are encoded as one text.
 JOINED = 500
-# str.split() also parts at these four, which are no white space to the tokenizer.
-CONTROL = re.compile("[\x1c-\x1f]")
-PIECE = re.compile(f"[^{SPACE}]+")
+# Characters of text that are tokenised at a time, but for single longer texts.
+STEP = 4_000_000
+# Letters are looked for below this code point: nothing there joins with the letter before it.
+LATIN = 0x250
 
 
 class Pieces:
     """Ids of texts by a tokenizer file whose pre-tokens never cross white space.
 
-    Normalising, splitting and merging then happen within the pieces between white space, so each
-    different piece is encoded once and remembered, up to ``MEMO`` pieces. Letters and the marks
-    after them are different pre-tokens and case does not count, so a new piece of letters is put
-    together from its word in lower case and its marks.
+    Normalising, splitting and merging then happen within the pieces between white space, so a batch
+    of texts is split, its different pieces are looked up once each, and their ids are gathered by
+    place. Pieces are remembered, up to ``MEMO`` characters. Letters and the marks after them are
+    different pre-tokens and case does not count, so a new piece of Latin letters, each of which the
+    tokenizer takes to one letter, is put together from its word in lower case and its marks; any other
+    piece is encoded as it stands.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    @staticmethod
-    def _parts(piece: str) -> tuple[str, str]:
-        """Two strings whose ids make up those of the piece."""
-        word = piece.rstrip(MARKS)
-        # A capital sigma becomes one of two letters, by its place for Python but not for the tokenizer.
-        if word.isalpha() and "\u03a3" not in word:
-            return word.lower(), piece[len(word) :]
-        return piece, ""
-
-    def _learn(self, new: list[str]) -> None:
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        if len(self.parts) > MEMO:
-            self.parts.clear()
-        parted = list(map(self._parts, new))
-        unknown = set(chain.from_iterable(parted)).difference(self.parts)
-        words = [part for part in unknown if part.isalpha()]
-        for at in range(0, len(words), JOINED):
-            self._learn_words(words[at : at + JOINED])
-        others = list(unknown.difference(self.parts))
-        for part, encoding in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            self.parts[part] = array("I", encoding.ids).tobytes()
-        for piece, (word, marks) in zip(new, parted):
-            self.memo[piece] = self.parts[word] + self.parts[marks]
+        normal = self.tokenizer.normalizer.normalize_str
+        letters = "".join(c for c in map(chr, range(LATIN)) if c.isalpha() and len(c.lower()) == 1 and normal(c) == c.lower())
+        self.plain = re.compile(f"([{letters}]+)([{re.escape(MARKS)}]*)")
+        # For words that need no normalising; an id that ends a pre-token ends a word.
+        self.words = Tokenizer.from_file(path)
+        self.words.normalizer = normalizers.Sequence([])
+        whole_words = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        self.words.pre_tokenizer = pre_tokenizers.Sequence(whole_words)
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+        self.held = 0
+        self.starts, self.lengths, self.ids = Growing("int64"), Growing("int64"), Growing("uint32")
+
+    def _encoded(self, new: list[str]) -> list[bytes]:
+        """Ids of pieces, each different, as 32-bit numbers."""
+        parts, match = self.parts, self.plain.fullmatch
+        parted = [(m[1].lower(), m[2]) if (m := match(piece)) else None for piece in new]
+        both = list(filter(None, parted))
+        self._learn_words(list({word for word, _ in both}.difference(parts)))
+        marks = list({mark for _, mark in both}.difference(parts))
+        loose = [*marks, *(piece for piece, found in zip(new, parted) if found is None)]
+        ids = [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(loose, add_special_tokens=False)]
+        parts.update(zip(marks, ids))
+        whole = iter(ids[len(marks) :])
+        return [parts[found[0]] + parts[found[1]] if found else next(whole) for found in parted]
 
     def _learn_words(self, words: list[str]) -> None:
-        """Words of letters are a pre-token each, so many can be encoded as one text."""
-        encoding = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = array("I", encoding.ids).tobytes()
-        starts = np.flatnonzero(np.diff(np.array(encoding.word_ids), prepend=-1))
-        ends = np.append(starts[1:], len(ids) // 4)
-        self.parts.update(zip(words, (ids[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())), strict=True))
-
-    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers, then ``end``."""
-        parted = [PIECE.findall(t) if CONTROL.search(t) else t.split() for t in texts]
-        found = [list(map(self.memo.get, pieces)) for pieces in parted]
-        open_texts = [i for i, ids in enumerate(found) if None in ids]
-        if open_texts:
-            # Also what was found: learning may clear the memo.
-            pieces = set(chain.from_iterable(parted[i] for i in open_texts))
-            self._learn(list(pieces if len(self.memo) > MEMO else pieces.difference(self.memo)))
-            for i in open_texts:
-                found[i] = list(map(self.memo.__getitem__, parted[i]))
-        return [b"".join(ids) + end for ids in found]
+        """Words of plain letters in lower case are a pre-token each, so many can be encoded as one text."""
+        for at in range(0, len(words), JOINED):
+            lot = words[at : at + JOINED]
+            (encoding,) = self.words.encode_batch_fast([" ".join(lot)], add_special_tokens=False)
+            ids = np.array(encoding.ids, "uint32")
+            ends = ((np.flatnonzero(self.is_end[ids]) + 1) * 4).tolist()
+            data = ids.tobytes()
+            self.parts.update(zip(lot, (data[a:b] for a, b in zip([0, *ends], ends)), strict=True))
+        self.held += sum(map(len, words))
+
+    def _add(self, new: list[str]) -> np.ndarray:
+        """Places of new pieces in the table of ids."""
+        encoded = self._encoded(new)
+        lengths = np.fromiter(map(len, encoded), "int64", len(encoded)) // 4
+        first = len(self.lengths)
+        self.starts.add(len(self.ids) + np.cumsum(lengths) - lengths)
+        self.lengths.add(lengths)
+        self.ids.add(np.frombuffer(b"".join(encoded), "uint32"))
+        return np.arange(first, len(self.lengths))
+
+    def _looked_up(self, pieces: list[str]) -> np.ndarray:
+        found = np.fromiter((self.places.get(p, -1) for p in pieces), "int64", len(pieces))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new = [pieces[i] for i in missing.tolist()]
+            places = self._add(new)
+            found[missing] = places
+            short = [(p, i) for p, i in zip(new, places.tolist()) if len(p) <= LONGEST]
+            self.places.update(short)
+            self.held += sum(len(p) for p, _ in short)
+        return found
+
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has; ``end_id`` ends every text."""
+        # No piece stays known by the place it had, so forgetting is safe between texts only.
+        if self.held > MEMO or len(self.ids) > MEMO:
+            self._forget()
+        split = pc.ascii_split_whitespace(texts)
+        bounds = split.offsets.to_numpy().astype("int64")
+        words = split.flatten().dictionary_encode()
+        places = self._looked_up(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        lengths = self.lengths[places]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        bounds = bounds - bounds[0]
+        at = np.repeat(self.starts[places] - ends[:-1], lengths)
+        ids = self.ids[at + np.arange(len(at))]
+        last = ends[bounds[1:]]
+        n = np.diff(ends[bounds])
+        if end_id is not None:
+            ids, n = np.insert(ids, last, end_id), n + 1
+        return ids, n
 
 
 @lru_cache(maxsize=2)
@@ -114,6 +156,13 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def as_binary(values: np.ndarray, n: np.ndarray) -> pa.Array:
+    """Consecutive runs of ``n`` 32-bit numbers as one binary value each."""
+    bounds = np.concatenate([[0], np.cumsum(n * 4)]).astype("int32")
+    data = np.ascontiguousarray(values.astype("<u4", copy=False))
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+
 def tokenised(docs: DataFrame, path: str, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """part, before, doc_id, n, ids of every row, from a table written to the shared folder."""
     schema = T.StructType(
@@ -125,26 +174,21 @@ def tokenised(docs: DataFrame, path: str, end_id: int = END_ID, doc_id: str = "d
             T.StructField("ids", T.BinaryType()),
         ]
     )
-    end = int(end_id).to_bytes(4, "little")
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use, part, before = pieces(path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            # Small steps bound what is held besides the batch.
-            for at in range(0, len(batch), 256):
-                rows = batch.iloc[at : at + 256]
-                ids = use.encode(list(rows["text"]), end)
-                n = np.array([len(x) // 4 for x in ids], dtype="int64")
+            for rows in steps(batch, "text", STEP):
+                ids, n = use.encode(rows.column("text"), end_id)
                 starts = before + np.cumsum(n) - n
                 before += int(n.sum())
-                yield pd.DataFrame(
-                    {"part": part, "before": starts, "doc_id": rows["doc_id"].values, "n": n.astype("int32"), "ids": ids}
-                )
+                columns = [pa.array(np.full(len(n), part, "int32")), pa.array(starts), rows.column("doc_id"), pa.array(n.astype("int32")), as_binary(ids, n)]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "before", "doc_id", "n", "ids"])
 
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     target = f"{checkpoint_root(spark)}/tokens-{uuid.uuid4().hex}"
-    rows.mapInPandas(encode, schema).write.option("compression", "zstd").parquet(target)
+    rows.mapInArrow(encode, schema).write.option("compression", "zstd").parquet(target)
     return spark.read.schema(schema).parquet(target)
 
 
