@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,11 +38,13 @@ from tidemark.session import checkpoint_root
 # Bytes of text to a block, but for single longer texts.
 BLOCK = 4_000_000
 # Bytes of pieces a worker remembers, and of the longest piece it does remember.
-MEMO = 5_000_000
+MEMO = 3_000_000
 LONGEST = 64
 # Bytes of new pieces that are encoded as one text.
 JOINED = 20_000
 PAIR_BITS = 32
+# Documents whose pairs are laid out at a time.
+LOT = 128
 # White space beyond ASCII, by its bytes in UTF-8.
 WIDE_BLANKS = tuple(chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 LOW_LINE = "▁"
@@ -276,8 +279,16 @@ def sides(path_a: str, path_b: str) -> Sides:
     return Sides(path_a, path_b)
 
 
+def _packed(values: np.ndarray, kind: str) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.astype(kind).tobytes())
+
+
+def _unpacked(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
 def _block(use: Sides, rows: pa.RecordBatch, with_groups: bool) -> dict:
-    """The columns of a block: binary arrays of 32-bit numbers (pairs: 64-bit)."""
+    """The columns of a block: compressed arrays of 32-bit numbers (pairs: 64-bit)."""
     use.start_block()
     texts = rows.column("text")
     pieces, n = cut_pieces(pc.fill_null(texts, ""))
@@ -294,12 +305,14 @@ def _block(use: Sides, rows: pa.RecordBatch, with_groups: bool) -> dict:
     at = spread(use.first[places], n_pairs)
     pairs, numbers = np.unique(use.pairs[at], return_inverse=True)
     # How many documents hold each pair: each piece of a document counts once, then each pair.
-    different = pd.unique(doc * len(places) + words)
-    own, word = different // max(len(places), 1), different % max(len(places), 1)
     bounds = np.append(0, np.cumsum(n_pairs))
-    held = pd.unique(np.repeat(own, n_pairs[word]) * len(pairs) + numbers[spread(bounds[word], n_pairs[word])])
-    held = np.bincount(held % max(len(pairs), 1), minlength=len(pairs))
     doc_bounds = np.searchsorted(doc, np.arange(len(n) + 1))
+    held = np.zeros(len(pairs), "int64")
+    for first in range(0, len(n), LOT):
+        lot = slice(doc_bounds[first], doc_bounds[min(first + LOT, len(n))])
+        own, word = np.divmod(pd.unique(doc[lot] * len(places) + words[lot]), max(len(places), 1))
+        mine = pd.unique(np.repeat(own, n_pairs[word]) * len(pairs) + numbers[spread(bounds[word], n_pairs[word])])
+        held += np.bincount(mine % max(len(pairs), 1), minlength=len(pairs))
     sums = {
         name: np.diff(np.append(0, np.cumsum(use.figures[name][places[words]]))[doc_bounds]) for name in FIGURES
     }
@@ -307,12 +320,12 @@ def _block(use: Sides, rows: pa.RecordBatch, with_groups: bool) -> dict:
     written = [";".join([groups[p] for p in listed[a:b]]) for a, b in zip(doc_bounds[:-1].tolist(), doc_bounds[1:].tolist())]
     digests = [hashlib.sha256(w.encode()).hexdigest() if w else "" for w in written]
     return {
-        "pairs": pairs.astype("<i8").tobytes(),
-        "held": held.astype("<i4").tobytes(),
-        "bounds": bounds.astype("<i4").tobytes(),
-        "numbers": numbers.astype("<i4").tobytes(),
-        "times": use.times[at].astype("<i4").tobytes(),
-        "words": words.astype("<i4").tobytes(),
+        "pairs": _packed(pairs, "<i8"),
+        "held": _packed(held, "<i4"),
+        "bounds": _packed(bounds, "<i4"),
+        "numbers": _packed(numbers, "<i4"),
+        "times": _packed(use.times[at], "<i4"),
+        "words": _packed(words, "<i4"),
         "docs": {
             "doc_id": rows.column("doc_id"),
             **{name: pa.array(sums[name].astype("int64")) for name in FIGURES},
@@ -359,7 +372,7 @@ def blocks(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str, wi
 def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block, pairs, held in zip(*(batch.column(c).to_pylist() for c in ("block", "pairs", "held"))):
-            pairs, held = np.frombuffer(pairs, "<i8"), np.frombuffer(held, "<i4")
+            pairs, held = _unpacked(pairs, "<i8"), _unpacked(held, "<i4")
             columns = [np.full(len(pairs), block), np.arange(len(pairs), dtype="int32"), pairs, held.astype("int64")]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["block", "number", "pair", "held"])
 
@@ -369,7 +382,7 @@ def _summed(block: pa.Table, scores: pa.Table) -> pa.Table:
     if not block.num_rows:
         raise ValueError("pairs without their block")
     row = block.slice(0, 1)
-    numbers, times, bounds, words = (np.frombuffer(row.column(c)[0].as_py(), "<i4").astype("int64") for c in ("numbers", "times", "bounds", "words"))
+    numbers, times, bounds, words = (_unpacked(row.column(c)[0].as_py(), "<i4").astype("int64") for c in ("numbers", "times", "bounds", "words"))
     count, best = np.zeros(scores.num_rows, "int64"), np.zeros(scores.num_rows, bool)
     place = scores.column("number").to_numpy()
     count[place], best[place] = scores.column("count").to_numpy(), scores.column("best").to_numpy(zero_copy_only=False)
