@@ -56,6 +56,22 @@ def test_ids_are_those_of_the_library(spark, reference):
     assert spark.createDataFrame([], "text string").select(encode("text")).count() == 0
 
 
+def test_digests_of_odd_texts(spark, reference):
+    docs = frame(spark, ODD + ["x" * 200_000, "twice", "twice"])
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    for r in byte_bpe.digests(docs, *FILES).collect():
+        ids = reference.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+    assert byte_bpe.digests(docs.limit(0), *FILES).count() == 0
+
+
+def test_long_pieces_are_not_remembered():
+    use = byte_bpe.Codec(*FILES)
+    use.encode("short " + "y" * 1000)
+    assert sum(map(len, use.memo)) == use.held < 64
+
+
 def test_query_digests(spark, reference):
     got = {r.doc_id: r for r in queries.op3_byte_bpe(spark, FOLDER).collect()}
     for doc_id, text in texts_of(spark):
@@ -249,7 +265,7 @@ def test_figures_of_odd_texts(spark):
 
 def test_a_bad_host_binds_only_its_own_failures(spark):
     good = " ".join(f"plain{i} words" for i in range(20))
-    marked = good + " # # # # # # # #"
+    marked = good + " #1 #2 #3 #4 #5 #6 #7 #8"
     rows = [(i, marked if i < 30 else good, "bad") for i in range(40)] + [(100 + i, marked if i == 0 else good + f" {i}", "fine") for i in range(40)]
     got = host_rules.host_verdicts(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     assert {r.doc_id for r in got if not r.kept} == set(range(30))

@@ -4,27 +4,34 @@ Tier one resolves a pre-token that is a vocabulary entry as a whole, through a m
 over the vocabulary (one slot per entry, so a lookup is one hash, one displacement and one compare).
 Tier two merges the bytes of the others: bytes are linked both ways, and a heap gives the next pair
 by rank and then by place. Texts are cut at white space first, which no pre-token but a leading
-space crosses; what a piece encodes to is remembered in each worker, up to ``MEMO`` pieces.
+space crosses; what a piece encodes to is remembered in each worker, up to ``MEMO`` characters of
+pieces of at most ``LONGEST``.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import SPACE
+from tidemark.llm.common import SPACE, steps
 
-MEMO = 1_000_000
+MEMO = 5_000_000
+LONGEST = 64
+# Bytes of text that are encoded at a time, but for single longer texts.
+STEP = 1_000_000
 PIECE = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 
 
@@ -128,6 +135,7 @@ class Codec:
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
         self.memo: dict[str, bytes] = {}
+        self.held = 0
 
     def _piece(self, piece: str) -> bytes:
         ids: list[int] = []
@@ -142,8 +150,9 @@ class Codec:
 
     def encode(self, text: str) -> np.ndarray:
         pieces = PIECE.findall(text)
-        if len(self.memo) > MEMO:
+        if self.held > MEMO:
             self.memo.clear()
+            self.held = 0
         memo = self.memo
         found = list(map(memo.get, pieces))
         if None in found:
@@ -151,7 +160,10 @@ class Codec:
                 if found[place] is None:
                     known = memo.get(piece)
                     if known is None:
-                        known = memo[piece] = self._piece(piece)
+                        known = self._piece(piece)
+                        if len(piece) <= LONGEST:
+                            memo[piece] = known
+                            self.held += len(piece)
                     found[place] = known
         return np.frombuffer(b"".join(found), dtype="<i4")
 
@@ -184,3 +196,35 @@ def decoder(path: str, pattern: str) -> Callable[[Column], Column]:
         return pd.Series([None if one is None else use.decode(one) for one in ids], dtype=object)
 
     return decode
+
+
+def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the ids in decimal, joined by commas), decoded_sha256.
+
+    Every text is encoded once, and what is decoded are those ids; neither leaves the task. A null text
+    has no ids, as an empty one; very long texts are encoded whole. Rows that repeat an id are documents of
+    their own. An empty table gives no rows; extra columns are not looked at.
+    """
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", docs.schema[doc_id].dataType),
+            T.StructField("n_tokens", T.LongType()),
+            T.StructField("ids_sha256", T.StringType()),
+            T.StructField("decoded_sha256", T.StringType()),
+        ]
+    )
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use = codec(path, pattern)
+        for batch in batches:
+            for rows in steps(batch, "text", STEP):
+                found = []
+                for one in rows.column("text"):
+                    ids = use.encode(one.as_py() or "")
+                    joined = ",".join(map(str, ids.tolist()))
+                    found.append((len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(use.decode(ids)).hexdigest()))
+                n, of_ids, of_bytes = (list(c) for c in zip(*found))
+                columns = [rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_bytes)]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(encode, schema)

@@ -27,15 +27,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    encode, decode = byte_bpe.encoder(*files), byte_bpe.decoder(*files)
-    encoded = documents(spark, sf_dir).select("doc_id", encode("text").alias("ids"))
-    return encoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(decode("ids"), 256).alias("decoded_sha256"),
-    )
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
