@@ -45,6 +45,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, none where it does not exist."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(where) if s.isDirectory())
+
+
 def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
