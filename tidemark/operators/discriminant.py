@@ -1,12 +1,11 @@
 """Linear and quadratic discriminant analysis, and the projection before them.
 
-Fitting is two passes over the rows: class sizes and means, then the scatter
-around the class means.  Only matrices of feature size come back.
+Fitting is two passes over the rows: class sizes and means, then the products of features by class, from
+which the scatter around the means follows.  Only sums of model size come back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +17,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.gramian import as_array, matrix, pair_sums
+
 
 @dataclass
 class ClassStats:
@@ -39,33 +40,18 @@ def class_stats(df: DataFrame, features: str = "features", label: str = "label")
     )
     labels = [r["label"] for r in moments]
     means = np.array([r["mean"].toArray() for r in moments])
-    size = means.shape[1]
-
-    def scatter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((len(labels), size, size))
-        for batch in batches:
-            x = np.stack(batch["x"].to_numpy())
-            for k, value in enumerate(labels):
-                centred = x[batch["label"].to_numpy() == value] - means[k]
-                sums[k] += centred.T @ centred
-        for k in range(len(labels)):
-            yield pd.DataFrame({"k": k, "i": range(size), "row": list(sums[k])})
-
-    # A task hands on one matrix per class, row by row; Summarizer adds the rows
-    # up on the map side, so the shuffle carries a few matrices per executor.
-    partial = df.select(F.col(label).cast("double").alias("label"), vector_to_array(features).alias("x"))
-    rows = (
-        partial.mapInPandas(scatter, "k int, i int, row array<double>")
-        .withColumn("row", array_to_vector("row"))
-        .groupBy("k", "i")
-        .agg(Summarizer.metrics("sum").summary(F.col("row")).alias("s"))
-        .select("k", "i", "s.sum")
-        .collect()
-    )
-    result = np.zeros((len(labels), size, size))
-    for r in rows:
-        result[r["k"], r["i"]] = r["sum"].toArray()
-    return ClassStats(labels, np.array([r["count"] for r in moments], dtype=float), means, result)
+    sizes = np.array([r["count"] for r in moments], dtype=float)
+    rows = df.select(F.col(label).cast("double").alias("label"), as_array(df, features).alias("x"))
+    sums = pair_sums(rows, "x", by=["label"], size=means.shape[1]).collect()
+    result = np.zeros((len(labels), means.shape[1], means.shape[1]))
+    for k, value in enumerate(labels):
+        whole = matrix([r for r in sums if r["label"] == value], means.shape[1])
+        centred = whole - sizes[k] * np.outer(means[k], means[k])
+        # What is left of a feature that does not vary within the class is rounding.
+        constant = centred.diagonal() <= 1e-12 * whole.diagonal()
+        centred[constant, :] = centred[:, constant] = 0.0
+        result[k] = centred
+    return ClassStats(labels, sizes, means, result)
 
 
 @dataclass

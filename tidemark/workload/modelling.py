@@ -7,11 +7,12 @@ from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import discriminant, evaluate, models
+from tidemark.operators import discriminant, evaluate, gramian, models
 from tidemark.plans import features
+from tidemark.session import stage_table
 from tidemark.workload.catalog import MAIN, main
 from tidemark.workload.market import Market, with_market
 from tidemark.workload.registry import Registry, rounded
@@ -190,6 +191,123 @@ def quadratic_discriminant_scores(m: Market) -> DataFrame:
     return rounded(scored.select("l_orderkey", "l_linenumber", "l_partkey", "score"), "score")
 
 
+NEWTON_STEPS = 8
+RIDGE = 50.0
+
+
+def newton_sql(name: str, weighted: bool, ridge: float) -> str:
+    """The steps of one fit on ``a`` and ``b``: sums of products, then the 3 x 3 system by determinants."""
+    parts = [f"{name}_0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2)"]
+    w = "w" if weighted else "1.0"
+    for step in range(NEWTON_STEPS):
+        parts.append(f"""{name}_p{step} AS (
+  SELECT x.*, {w} AS v, 1 / (1 + exp(-(b0 + b1 * a + b2 * b))) AS p, b0, b1, b2 FROM x, {name}_{step}),
+{name}_h{step} AS (
+  SELECT any_value(b0) AS b0, any_value(b1) AS b1, any_value(b2) AS b2,
+         sum(v * (y - p)) AS g0, sum(v * (y - p) * a) - {ridge} * any_value(b1) AS g1, sum(v * (y - p) * b) - {ridge} * any_value(b2) AS g2,
+         sum(v * p * (1 - p)) AS h00, sum(v * p * (1 - p) * a) AS h01, sum(v * p * (1 - p) * b) AS h02,
+         sum(v * p * (1 - p) * a * a) + {ridge} AS h11, sum(v * p * (1 - p) * a * b) AS h12, sum(v * p * (1 - p) * b * b) + {ridge} AS h22
+  FROM {name}_p{step}),
+{name}_d{step} AS (
+  SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det FROM {name}_h{step}),
+{name}_{step + 1} AS (
+  SELECT b0 + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det AS b0,
+         b1 + (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det AS b1,
+         b2 + (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / det AS b2
+  FROM {name}_d{step})""")
+    return ",\n".join(parts)
+
+
+NEWTON_FITS = {
+    "plain": (False, 0.0), "plain_balanced": (True, 0.0), "ridge": (False, RIDGE), "ridge_balanced": (True, RIDGE),
+}
+NEWTON_SQL = """
+WITH lines AS (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS y, CAST(l_quantity AS DOUBLE) AS a, CAST(l_discount AS DOUBLE) * 100 AS b FROM lineitem),
+x AS (SELECT *, count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY y)) AS w FROM lines),
+@fits@,
+fits AS (@rows@),
+weights AS (SELECT model, unnest(['intercept', 'quantity', 'discount']) AS feature, unnest([b0, b1, b2]) AS weight FROM fits)
+""".replace("@fits@", ",\n".join(newton_sql(name, *how) for name, how in NEWTON_FITS.items())).replace(
+    "@rows@", " UNION ALL ".join(f"SELECT '{name}' AS model, * FROM {name}_{NEWTON_STEPS}" for name in NEWTON_FITS)
+)
+
+
+def newton_weights(m: Market) -> DataFrame:
+    """model, feature, weight of logistic fits on two columns, plain and ridge, each as it is and balanced."""
+    data = stage_table(models.balanced_weights(lines(m, "l_quantity", "l_discount").select(
+        "label", F.transform(vector_to_array("features"), lambda v, i: v * F.when(i == 1, 100.0).otherwise(1.0)).alias("features")
+    )), "lines")
+    found = []
+    for name, (weighted, ridge) in NEWTON_FITS.items():
+        fit = gramian.fit_newton(data, weight="weight" if weighted else None, ridge=ridge, steps=NEWTON_STEPS)
+        found += [(name, c, float(v)) for c, v in zip(("intercept", "quantity", "discount"), (fit.intercept, *fit.coefficients))]
+    return m.spark.createDataFrame(found, "model string, feature string, weight double")
+
+
+@REGISTRY.add(NEWTON_SQL + "SELECT model, feature, round(weight, 6) AS weight FROM weights")
+def logistic_coefficients(m: Market) -> DataFrame:
+    return rounded(newton_weights(m), "weight")
+
+
+@REGISTRY.add(NEWTON_SQL + """
+SELECT model, feature, round(weight, 6) AS weight, round(abs(weight), 6) AS magnitude,
+       CAST(row_number() OVER (PARTITION BY model ORDER BY abs(weight) DESC, feature) AS INTEGER) AS rank FROM weights WHERE feature <> 'intercept'""")
+def weights_by_magnitude(m: Market) -> DataFrame:
+    """The weight table of every fit, largest first."""
+    weights = newton_weights(m).filter("feature <> 'intercept'").withColumn("magnitude", F.abs("weight"))
+    order = Window.partitionBy("model").orderBy(F.desc("magnitude"), "feature")
+    return rounded(weights.withColumn("rank", F.row_number().over(order)), "weight", "magnitude")
+
+
+TWO_COLUMNS = """
+WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_returnflag = 'R' AS INTEGER) AS y,
+                  CAST(l_quantity AS DOUBLE) AS a, CAST(l_discount AS DOUBLE) * 100 AS b FROM lineitem)"""
+
+
+def density_sql(d: str) -> str:
+    """Log density, with prior, of ``a`` and ``b`` in the class of row ``d``."""
+    squares = f"{d}.cbb * (a - {d}.ma) ** 2 - 2 * {d}.cab * (a - {d}.ma) * (b - {d}.mb) + {d}.caa * (b - {d}.mb) ** 2"
+    return f"(ln({d}.n) - 0.5 * ln({d}.det) - 0.5 * ({squares}) / {d}.det)"
+
+
+def two_columns(m: Market) -> DataFrame:
+    return m.table("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_returnflag") == "R").cast("double").alias("label"),
+        F.array(F.col("l_quantity").cast("double"), F.col("l_discount").cast("double") * 100).alias("features"))
+
+
+@REGISTRY.add(TWO_COLUMNS + """,
+c AS (SELECT avg(a) AS ma, avg(b) AS mb, var_samp(a) AS saa, var_samp(b) AS sbb, covar_samp(a, b) AS sab FROM x),
+e AS (SELECT *, (saa + sbb) / 2 + sqrt(((saa - sbb) / 2) ** 2 + sab ** 2) AS v1 FROM c),
+-- The first axis solves (S - v1) u = 0; its larger entry is positive, and so is that of the second.
+u AS (SELECT *, v1 - sbb AS u0, sab AS u1 FROM e),
+n AS (SELECT *, u0 / sqrt(u0 * u0 + u1 * u1) AS p, u1 / sqrt(u0 * u0 + u1 * u1) AS q FROM u)
+SELECT l_orderkey, l_linenumber, l_partkey, round((a - ma) * p + (b - mb) * q, 5) AS first,
+       round(-(a - ma) * q + (b - mb) * p, 5) AS second
+FROM x, n""")
+def projected_rows(m: Market) -> DataFrame:
+    """Every row along the two principal components of two columns."""
+    rows = two_columns(m)
+    model = gramian.fit_components(rows)
+    both = model.project(F.col("features"))
+    return rows.select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.round(both[0], 5).alias("first"), F.round(both[1], 5).alias("second"))
+
+
+@REGISTRY.add(TWO_COLUMNS + """,
+s AS (SELECT y, count(*) AS n, avg(a) AS ma, avg(b) AS mb, var_samp(a) AS caa, var_samp(b) AS cbb, covar_samp(a, b) AS cab FROM x GROUP BY y),
+d AS (SELECT *, caa * cbb - cab * cab AS det FROM s),
+g AS (SELECT l_orderkey, l_linenumber, l_partkey, @of(o)@ - @of(z)@ AS g FROM x, d o, d z WHERE o.y = 1 AND z.y = 0)
+SELECT l_orderkey, l_linenumber, l_partkey, round(1 / (1 + exp(-g)), 6) AS score FROM g""".replace("@of(o)@", density_sql("o")).replace("@of(z)@", density_sql("z")))
+def discriminant_on_components(m: Market) -> DataFrame:
+    """QDA on the two principal components of two columns: no other axes change its densities."""
+    rows = two_columns(m)
+    low = rows.withColumn("features", gramian.fit_components(rows).project(F.col("features")))
+    low = models.feature_vector(low, "features")
+    scored = models.with_score(discriminant.fit_qda(low).transform(low))
+    return rounded(scored.select("l_orderkey", "l_linenumber", "l_partkey", "score"), "score")
+
+
 @REGISTRY.add("""
 WITH c AS (SELECT var_samp(l_quantity) AS a, var_samp(l_discount * 100) AS b, covar_samp(l_quantity, l_discount * 100) AS c FROM lineitem),
 e AS (SELECT (a + b) / 2 + sqrt(((a - b) / 2) ** 2 + c * c) AS v1, a + b AS total FROM c)
