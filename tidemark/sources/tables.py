@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.sources.snapshots import absent_rows
@@ -39,6 +40,21 @@ def append_batch(spark: SparkSession, target: str, staging: str) -> None:
     truncate(spark, staging)
 
 
+def append_once(spark: SparkSession, target: str, staging: str, ledger: str, batch: str) -> None:
+    """Adds the staged rows as ``batch``, however often it is called for it, and empties the staging table.
+
+    ``target`` is partitioned by a text column ``batch`` and ``ledger`` holds ``batch``. The rows replace the
+    batch's own partition, so a repetition after a failure writes them again, not besides; a batch the ledger
+    knows is whole, and only the staging table is left to empty.
+    """
+    if spark.table(ledger).filter(F.col("batch") == batch).isEmpty():
+        columns = [c for c in spark.table(target).columns if c != "batch"]
+        rows = spark.table(staging).select(*columns).withColumn("batch", F.lit(batch))
+        rows.write.option("partitionOverwriteMode", "dynamic").insertInto(target, overwrite=True)
+        spark.createDataFrame([(batch,)], "batch string").write.insertInto(ledger)
+    truncate(spark, staging)
+
+
 def insert_absent_batch(spark: SparkSession, target: str, staging: str, keys: Sequence[str]) -> None:
     """Adds the staged rows whose key is new to the target and empties the staging table."""
     fresh = absent_rows(spark.table(target), spark.table(staging), keys)

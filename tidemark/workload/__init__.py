@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.workload import catalog, decisions, loading, modelling, relational
+from tidemark.workload import catalog, decisions, loading, modelling, relational, storage
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for _module in (catalog, relational, loading, decisions, modelling):
+for _module in (catalog, relational, loading, decisions, modelling, storage):
     QUERIES.update(_module.REGISTRY.queries)
     ORACLE.update(_module.REGISTRY.sql)
