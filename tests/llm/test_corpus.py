@@ -137,7 +137,7 @@ def test_lines_keep_their_first_place(spark):
     got = {r.doc_id: r for r in line_dedup.without_repeats(frame(spark, texts)).collect()}
     assert got[0].text == f"{long}\nown text of the first one\n" and [tuple(s) for s in got[0].spans] == [(60, 93)]
     assert got[1].text == "x\ny\n" and [texts[1][a:b] for a, b in got[1].spans] == ["  The SAME line of\tseven words here \n", long]
-    assert [got[i].text for i in (2, 3, 4)] == ["short\nshort", "", ""] and got[5].text == "\n" * 2999
+    assert [got[i].text for i in (2, 3, 4)] == ["short\nshort", "", ""] and got[5].text == ""
     assert "digest" in got[0] and got[0].node == 1
 
 
@@ -148,6 +148,20 @@ def test_lines_of_repeats_and_nothing(spark):
     assert line_dedup.without_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_passages_within_lines_go_with_their_short_sentences(spark):
+    passage = "A passage of some words here. Short. Yes! Another sentence of six words? "
+    texts = [f"Own beginning one. {passage}Own end one.", f"Other start goes here {passage}and an end. Short. Yes! Own."]
+    texts += ["Yes! Short. Own words here.", "第一句话在这里有很多很多的字没有空格而且还要更长一点点才行。短。", "别的话。第一句话在这里有很多很多的字没有空格而且还要更长一点点才行。短。尾。"]
+    got = {r.doc_id: r for r in line_dedup.without_repeats(frame(spark, texts)).collect()}
+    assert got[0].text == texts[0]
+    # Its first sentence has other words before it here; the ones after it go, the short ones too.
+    assert got[1].text == "Other start goes here A passage of some words here. and an end. Short. Yes! Own."
+    assert got[2].text == texts[2] and got[3].text == texts[3] and got[4].text == "别的话。尾。"
+    for i, text in enumerate(texts):
+        edges = [0, *(x for s in got[i].spans for x in s), len(text)]
+        assert "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])) == got[i].text
+
+
 # Substrings
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import SPACE, steps
 
-MEMO = 5_000_000
+MEMO = 16_000_000
 LONGEST = 64
 # Bytes of text that are encoded at a time, but for single longer texts.
 STEP = 1_000_000
@@ -132,6 +132,7 @@ class Codec:
         tokens = list(self.ranks)
         self.whole = PerfectHash(tokens)
         self.rank_of = [self.ranks[token] for token in tokens]
+        self.names = {rank: str(rank) for rank in self.rank_of}
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
         self.memo: dict[str, bytes] = {}
@@ -221,7 +222,7 @@ def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", te
                 found = []
                 for one in rows.column("text"):
                     ids = use.encode(one.as_py() or "")
-                    joined = ",".join(map(str, ids.tolist()))
+                    joined = ",".join(map(use.names.__getitem__, ids.tolist()))
                     found.append((len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(use.decode(ids)).hexdigest()))
                 n, of_ids, of_bytes = (list(c) for c in zip(*found))
                 columns = [rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_bytes)]

@@ -32,41 +32,39 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text", F.length("text").cast("long").alias("n_chars"))
-    cut = line_dedup.without_repeats(docs)
+    cut = line_dedup.without_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
     return cut.select(
         "doc_id",
-        F.coalesce("n_chars", F.lit(0)).alias("n_chars"),
-        (F.coalesce("n_chars", F.lit(0)) - F.length("text")).alias("n_removed"),
+        "text",
+        F.length("text").cast("long").alias("n_chars"),
+        removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.concat_ws(",", F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))).alias("removed"),
-        F.sha2("text", 256).alias("kept_sha256"),
     )
 
 
 OP4_SQL = r"""
-WITH lines AS (
-  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS i
-  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+parted AS (
+  SELECT doc_id, string_split(regexp_replace(text, '(\n+|[.!?][\x20\t]|[。！？])', '\1' || chr(57344), 'g'), chr(57344)) AS units FROM texts),
+units AS (SELECT doc_id, unnest(units) AS unit, unnest(range(0, len(units))) AS i FROM parted),
 normal AS (
-  SELECT *, len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) >= 5 AS counts,
-         trim(lower(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')), ' ') AS unit,
-         coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
-  FROM lines),
-judged AS (
-  SELECT *, counts AND row_number() OVER (PARTITION BY counts, unit ORDER BY doc_id, i) > 1 AS gone FROM normal),
-spans AS (
-  SELECT doc_id, min(s) AS s, max(least(s + length(line) + 1, length(text))) AS e
-  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM judged WHERE gone)
-  GROUP BY doc_id, run),
-kept AS (
-  SELECT doc_id, length(text) AS n, sha256(string_agg(CASE WHEN gone THEN '' ELSE substring(text, CAST(s + 1 AS BIGINT), length(line) + 1) END, '' ORDER BY i)) AS h
-  FROM judged GROUP BY doc_id, text),
+  SELECT *, trim(lower(regexp_replace(unit, '[\x20\x09-\x0D]+', ' ', 'g')), ' ') AS plain,
+         len(list_filter(regexp_split_to_array(unit, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
+         coalesce(sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+  FROM units),
+judged AS (SELECT *, plain <> '' AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, i) > 1 AS again FROM normal),
+runs AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, again ORDER BY i) AS run FROM judged),
+verdicts AS (
+  SELECT *, again AND (sum(words) OVER w >= 5 OR sum(length(plain)) OVER w >= 30) AS gone FROM runs WINDOW w AS (PARTITION BY doc_id, again, run)),
+spans AS (SELECT doc_id, min(s) AS s, max(s + length(unit)) AS e FROM verdicts WHERE gone GROUP BY doc_id, run),
 removed AS (
   SELECT doc_id, sum(e - s) AS n, count(*) AS k, string_agg(CAST(s AS BIGINT) || ':' || CAST(e AS BIGINT), ',' ORDER BY s) AS spans
-  FROM spans GROUP BY doc_id)
-SELECT k.doc_id, k.n AS n_chars, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed, coalesce(r.k, 0) AS n_spans,
-       coalesce(r.spans, '') AS removed, h AS kept_sha256
+  FROM spans GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(CASE WHEN gone THEN '' ELSE unit END, '' ORDER BY i) AS text FROM verdicts GROUP BY doc_id)
+SELECT k.doc_id, k.text, length(k.text) AS n_chars, CAST(coalesce(r.n, 0) AS BIGINT) AS n_removed, coalesce(r.k, 0) AS n_spans,
+       coalesce(r.spans, '') AS removed
 FROM kept k LEFT JOIN removed r ON k.doc_id = r.doc_id
 """
 

@@ -36,9 +36,9 @@ from tidemark.llm.common import Growing, spread, steps
 from tidemark.session import checkpoint_root
 
 # Bytes of text to a block, but for single longer texts.
-BLOCK = 4_000_000
+BLOCK = 2_000_000
 # Bytes of pieces a worker remembers, and of the longest piece it does remember.
-MEMO = 3_000_000
+MEMO = 2_500_000
 LONGEST = 64
 # Bytes of new pieces that are encoded as one text.
 JOINED = 20_000
