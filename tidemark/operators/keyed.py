@@ -75,7 +75,9 @@ def first_seen(df: DataFrame, keys: Sequence[str], batch: str) -> DataFrame:
     it equals nothing, so its rows are new in every batch.
     """
     earliest = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.min(batch).alias("_first"))
-    joined = df.join(earliest, list(keys), "left")
+    # The null-safe condition deals both sides out anew: a plain one would keep the aggregate's partitioning,
+    # which adaptive execution can't split. No key of the aggregate has a NULL, so none is matched.
+    joined = _join_null_safe(df, earliest, keys, "left")
     return joined.filter(F.col("_first").isNull() | (F.col(batch) == F.col("_first"))).select(*df.columns)
 
 
@@ -98,7 +100,7 @@ def keep_top(df: DataFrame, key: str, measure: Column, n: int) -> DataFrame:
     return df.join(top_levels(df, key, measure, n).select(key), key, "left_semi")
 
 
-def _join_null_safe(df: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _join_null_safe(df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     renamed = per_key.withColumnsRenamed({k: f"_k_{k}" for k in keys})
     condition = [df[k].eqNullSafe(renamed[f"_k_{k}"]) for k in keys]
-    return df.join(renamed, condition, "inner").drop(*[f"_k_{k}" for k in keys])
+    return df.join(renamed, condition, how).drop(*[f"_k_{k}" for k in keys])
