@@ -183,3 +183,11 @@ def test_decimals_are_summed_and_any_script_has_words(spark):
     assert explore.column_sums(df).columns == ["d", "i"] and float(explore.column_sums(df).first()[0]) == 1.25
     roles = spark.createDataFrame([("актёр",), ("--",), (None,)], "role string")
     assert [r[0] for r in roles.select(wordless_to(F.col("role"))).collect()] == ["актёр", "None", "None"]
+
+
+def test_rows_without_a_day_stay_in_training(spark):
+    df = spark.createDataFrame([(1, 5), (2, 7), (3, None), (4, 7)], "id int, date int")
+    train, holdout = features.temporal_holdout(df)
+    assert rows(train, "id") == [(1,), (3,)] and rows(holdout, "id") == [(2,), (4,)]
+    nothing = spark.createDataFrame([(1, None)], "id int, date int")
+    assert [part.count() for part in features.temporal_holdout(nothing)] == [1, 0]

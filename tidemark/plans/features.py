@@ -166,9 +166,9 @@ def performer_columns(performers: DataFrame, levels: Sequence[str], min_events:
 
 
 def temporal_holdout(df: DataFrame, date: str = "date") -> tuple[DataFrame, DataFrame]:
-    """Rows before the last snapshot day, and rows of that day."""
+    """Rows before the last snapshot day, and rows of that day; rows without a day are no holdout."""
     last = df.agg(F.max(date)).scalar()
-    return df.filter(F.col(date) < last), df.filter(F.col(date) == last)
+    return df.filter(F.col(date).isNull() | (F.col(date) < last)), df.filter(F.col(date) == last)
 
 
 @dataclass
