@@ -180,6 +180,7 @@ def brute_substrings(docs):
 def test_substrings_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(column_bwt, "PACKED", 500)
     monkeypatch.setattr(column_bwt, "COLLECTION", 50)
+    monkeypatch.setattr(column_bwt, "RANGE_BYTES", 4000)
     draw = random.Random(2)
     word = lambda: "".join(draw.choice("abé ") for _ in range(draw.randrange(2, 9)))
     parts = [" ".join(word() for _ in range(draw.randrange(5, 40))) for _ in range(12)]
@@ -201,6 +202,16 @@ def test_substrings_of_repeats_and_nothing(spark):
     assert column_bwt.without_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_substrings_of_an_id_with_several_texts(spark):
+    """A span of one text of an id does not cut the other, and neither misses a match."""
+    draw = random.Random(5)
+    a, b, c = ("".join(draw.choices("abcdefgh ", k=200)) for _ in range(3))
+    rows = [(a, 1), (a, 5), (b, 5), (c, 5), (c, 7), (b + a, 9), ("z" + b, -3)]
+    docs = frame(spark, [t for t, _ in rows], [i for _, i in rows])
+    got = sorted((r.doc_id, bytes(r.kept).decode()) for r in column_bwt.without_repeats(docs).collect())
+    assert got == sorted([(1, a), (5, ""), (5, ""), (5, c), (7, ""), (9, ""), (-3, "z" + b)])
+
+
 def test_collection_is_the_transform():
     pieces = [b"banana", b"ananas", b"an", b"banana\x00\xff"]
     collection = column_bwt.Collection(pieces)
