@@ -34,13 +34,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import steps
 from tidemark.session import checkpoint_root
 
 LENGTH = 50
 GRAM = 25
 # Places that a map task packs at a time, and bytes of input for each range of hashes and each bucket of documents.
 PACKED = 250_000
-RANGE_BYTES = 8_000_000
+RANGE_BYTES = 3_000_000
+# Bytes of text that a map task looks at together.
+LOT = 1_000_000
 # Pieces for each collection.
 COLLECTION = 40_000
 STEP = 1 << 19
@@ -51,6 +54,7 @@ SIZE_BITS = 7
 COLUMNS = {"anchors": np.uint64, "kinds": np.int64, "docs": np.int64, "starts": np.int64}
 MESSAGE = "place int, sure boolean, anchors binary, kinds binary, docs binary, starts binary"
 SPAN_KEYS = ["kinds", "docs", "starts"]
+FORM = pa.schema([("place", pa.int32()), ("sure", pa.bool_()), *[(c, pa.binary()) for c in COLUMNS]])
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -156,19 +160,18 @@ def _divided(anchor: np.ndarray, kind: np.ndarray, doc: np.ndarray, start: np.nd
 
 
 def _packed(n_ranges: int):
-    def flush(held: list) -> pd.DataFrame:
+    def flush(held: list) -> pa.RecordBatch:
         sure, asks = _divided(*(np.concatenate(x) for x in zip(*held)))
         # Evenly, not by anchor: nothing is asked of these any more.
         spread = np.arange(len(sure[0])) * n_ranges // max(len(sure[0]), 1)
         place = (asks[0] >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)
-        return _table(
-            _messages(spread, True, dict(zip(SPAN_KEYS, sure))) + _messages(place, False, dict(zip(COLUMNS, asks)))
-        )
+        rows = _messages(spread, True, dict(zip(SPAN_KEYS, sure))) + _messages(place, False, dict(zip(COLUMNS, asks)))
+        return pa.RecordBatch.from_pandas(_table(rows), FORM, preserve_index=False)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for batch in batches:
-            for doc, text in zip(batch["doc_id"], batch["text"]):
+        for lot in (x for batch in batches for x in steps(batch, "text", LOT)):
+            for doc, text in zip(lot["doc_id"].to_pylist(), lot["text"].to_pylist()):
                 anchor, kind, start = anchors(text)
                 held.append((anchor, kind, np.full(len(anchor), doc, dtype=np.int64), start))
                 n += len(anchor)
@@ -417,7 +420,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "doc_id", F.col("text").cast("binary").alias("text"), _bucket(F.col("doc_id"), F.col("text"), n_buckets)
     )
     named = texts.filter("doc_id IS NOT NULL")
-    asked = named.select("doc_id", "text").mapInPandas(_packed(n_ranges), MESSAGE)
+    asked = named.select("doc_id", "text").mapInArrow(_packed(n_ranges), MESSAGE)
     told = keep(asked.groupBy("place").applyInPandas(_answers(n_buckets), MESSAGE), "told")
     sure, open_ = told.filter("sure"), told.filter("NOT sure")
     n_open = open_.agg(F.sum(F.octet_length("docs"))).first()[0] or 0
