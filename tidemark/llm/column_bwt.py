@@ -40,13 +40,13 @@ from tidemark.session import checkpoint_root
 LENGTH = 50
 GRAM = 25
 # Places that a map task packs at a time, and bytes of input for each range of hashes and each bucket of documents.
-PACKED = 250_000
+PACKED = 125_000
 RANGE_BYTES = 3_000_000
 # Bytes of text that a map task looks at together.
 LOT = 1_000_000
 # Pieces for each collection.
-COLLECTION = 40_000
-STEP = 1 << 19
+COLLECTION = 10_000
+STEP = 1 << 17
 LOW = np.uint64((1 << 20) - 1)
 FACTOR = 0x9DDFEA08EB382D69
 # A piece's kind: checksum above, size in the low bits.
@@ -55,7 +55,11 @@ COLUMNS = {"anchors": np.uint64, "kinds": np.int64, "docs": np.int64, "starts":
 MESSAGE = "place int, sure boolean, anchors binary, kinds binary, docs binary, starts binary"
 SPAN_KEYS = ["kinds", "docs", "starts"]
 FORM = pa.schema([("place", pa.int32()), ("sure", pa.bool_()), *[(c, pa.binary()) for c in COLUMNS]])
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# While a step is written: its shuffle files go when it is done, and few texts are sent to Python at a time.
+WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+}
 
 
 def _power(n: int) -> np.uint64:
@@ -140,6 +144,12 @@ def _messages(to: np.ndarray, sure: bool, values: dict[str, np.ndarray]) -> list
     return [(int(to[a]), sure, *[planes(c, a, b) for c in COLUMNS]) for a, b in zip(cuts, cuts[1:])]
 
 
+def _released(result):
+    """Memory that Arrow holds for later use goes back, since idle workers keep theirs."""
+    pa.default_memory_pool().release_unused()
+    return result
+
+
 def _table(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["place", "sure", *COLUMNS])
 
@@ -166,7 +176,7 @@ def _packed(n_ranges: int):
         spread = np.arange(len(sure[0])) * n_ranges // max(len(sure[0]), 1)
         place = (asks[0] >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)
         rows = _messages(spread, True, dict(zip(SPAN_KEYS, sure))) + _messages(place, False, dict(zip(COLUMNS, asks)))
-        return pa.RecordBatch.from_pandas(_table(rows), FORM, preserve_index=False)
+        return _released(pa.RecordBatch.from_pandas(_table(rows), FORM, preserve_index=False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -379,14 +389,14 @@ def _cut(docs: pa.Table, rows: pa.Table) -> pa.Table:
         kept.append(b"".join(parts) + data[done:])
         spans.append(merged)
         sizes.append(len(data))
-    return pa.table(
+    return _released(pa.table(
         {
             "doc_id": docs["doc_id"].cast(pa.int64()),
             "n_bytes": pa.array(sizes, pa.int64()),
             "spans": pa.array(spans, pa.list_(pa.list_(pa.int64()))),
             "kept": pa.array(kept, pa.binary()),
         }
-    )
+    ))
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -400,16 +410,17 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     spark = docs.sparkSession
     folder = f"{checkpoint_root(spark)}/bwt-{uuid.uuid4().hex}"
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        """Write a step; its shuffle files go when it is done."""
-        before = spark.conf.get(CLEANUP, None)
-        spark.conf.set(CLEANUP, "true")
+    def keep(df: DataFrame, step: str) -> DataFrame:
+        before = {name: spark.conf.get(name, None) for name in WRITING}
+        for name, value in WRITING.items():
+            spark.conf.set(name, value)
         try:
-            df.write.parquet(f"{folder}/{name}")
+            df.write.parquet(f"{folder}/{step}")
         finally:
-            spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+            for name, value in before.items():
+                spark.conf.unset(name) if value is None else spark.conf.set(name, value)
         gc.collect()
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{step}")
 
     whole = F.coalesce(F.col(text), F.lit("")).cast("string")
     named = docs.filter(F.col(doc_id).isNotNull())
