@@ -29,8 +29,8 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,10 +55,12 @@ COLUMNS = {"anchors": np.uint64, "kinds": np.int64, "docs": np.int64, "starts":
 MESSAGE = "place int, sure boolean, anchors binary, kinds binary, docs binary, starts binary"
 SPAN_KEYS = ["kinds", "docs", "starts"]
 FORM = pa.schema([("place", pa.int32()), ("sure", pa.bool_()), *[(c, pa.binary()) for c in COLUMNS]])
-# While a step is written: its shuffle files go when it is done, and few texts are sent to Python at a time.
+# While a step is written: its shuffle files go when it is done, few texts are sent to
+# Python at a time, and a task holds and writes little of what it has fetched.
 WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 
@@ -150,13 +152,14 @@ def _released(result):
     return result
 
 
-def _table(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["place", "sure", *COLUMNS])
+def _table(rows: list[tuple]) -> pa.Table:
+    columns = zip(*rows) if rows else [[]] * len(FORM)
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, FORM)], schema=FORM)
 
 
-def _read(rows, column: str) -> np.ndarray:
+def _read(rows: pa.Table, column: str) -> np.ndarray:
     kind = COLUMNS[column]
-    parts = [np.frombuffer(x, np.uint8).reshape(8, -1).T.copy().view(kind).ravel() for x in rows]
+    parts = [np.frombuffer(x.as_buffer(), np.uint8).reshape(8, -1).T.copy().view(kind).ravel() for x in rows[column]]
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
@@ -170,13 +173,13 @@ def _divided(anchor: np.ndarray, kind: np.ndarray, doc: np.ndarray, start: np.nd
 
 
 def _packed(n_ranges: int):
-    def flush(held: list) -> pa.RecordBatch:
+    def flush(held: list) -> list[pa.RecordBatch]:
         sure, asks = _divided(*(np.concatenate(x) for x in zip(*held)))
         # Evenly, not by anchor: nothing is asked of these any more.
         spread = np.arange(len(sure[0])) * n_ranges // max(len(sure[0]), 1)
         place = (asks[0] >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)
         rows = _messages(spread, True, dict(zip(SPAN_KEYS, sure))) + _messages(place, False, dict(zip(COLUMNS, asks)))
-        return _released(pa.RecordBatch.from_pandas(_table(rows), FORM, preserve_index=False))
+        return _released(_table(rows).to_batches())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -186,10 +189,10 @@ def _packed(n_ranges: int):
                 held.append((anchor, kind, np.full(len(anchor), doc, dtype=np.int64), start))
                 n += len(anchor)
                 if n >= PACKED:
-                    yield flush(held)
+                    yield from flush(held)
                     held, n = [], 0
         if n:
-            yield flush(held)
+            yield from flush(held)
 
     return run
 
@@ -207,20 +210,19 @@ def _bucket(doc: Column, text: Column, n_buckets: int) -> Column:
 def _answers(n_buckets: int):
     """By bucket of documents: pieces that go, and those that must be compared with others of their anchor."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        told, asked = group[group["sure"]], group[~group["sure"]]
-        goes, rest = _divided(*(_read(asked[c], c) for c in COLUMNS))
-        goes = [np.concatenate((_read(told[c], c), x)) for c, x in zip(SPAN_KEYS, goes)]
+    def run(group: pa.Table) -> pa.Table:
+        told, asked = group.filter(group["sure"]), group.filter(pc.invert(group["sure"]))
+        goes, rest = _divided(*(_read(asked, c) for c in COLUMNS))
+        goes = [np.concatenate((_read(told, c), x)) for c, x in zip(SPAN_KEYS, goes)]
         anchor, doc = rest[0], rest[2]
         if len(anchor):
             first = _starts(anchor)
             several = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
             keep = np.repeat(several, np.diff(np.append(first, len(anchor))))
             rest = tuple(x[keep] for x in rest)
-        return _table(
-            _messages(_bucket_of(goes[1], n_buckets), True, dict(zip(SPAN_KEYS, goes)))
-            + _messages(_bucket_of(rest[2], n_buckets), False, dict(zip(COLUMNS, rest)))
-        )
+        rows = _messages(_bucket_of(goes[1], n_buckets), True, dict(zip(SPAN_KEYS, goes)))
+        rows += _messages(_bucket_of(rest[2], n_buckets), False, dict(zip(COLUMNS, rest)))
+        return _released(_table(rows))
 
     return run
 
@@ -244,7 +246,7 @@ def _holds(text: bytes, start: int, kind: int) -> bool:
 def _pieces(n_collections: int):
     def run(docs: pa.Table, rows: pa.Table) -> pa.Table:
         texts = _texts_of(docs)
-        anchor, kind, doc, start = (_read(rows[c].to_pylist(), c) for c in COLUMNS)
+        anchor, kind, doc, start = (_read(rows, c) for c in COLUMNS)
         held: dict[tuple[int, bytes], list] = defaultdict(list)
         groups = (anchor % np.uint64(n_collections)).tolist()
         sizes = (kind & ((1 << SIZE_BITS) - 1)).tolist()
@@ -326,11 +328,12 @@ class Collection:
 def _judged(n_buckets: int):
     """The strings that go, neighbours of a piece as one, by bucket of documents."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    def run(group: pa.Table) -> pa.Table:
         numbers: dict[bytes, int] = {}
-        number = np.array([numbers.setdefault(p, len(numbers)) for p in group["piece"]], dtype=np.int64)
-        counts = np.array([len(p) // 16 for p in group["places"]], dtype=np.int64)
-        places = np.frombuffer(b"".join(group["places"]), dtype=np.int64).reshape(-1, 2)
+        number = np.array([numbers.setdefault(p, len(numbers)) for p in group["piece"].to_pylist()], dtype=np.int64)
+        packed = group["places"].to_pylist()
+        counts = np.array([len(p) // 16 for p in packed], dtype=np.int64)
+        places = np.frombuffer(b"".join(packed), dtype=np.int64).reshape(-1, 2)
         doc, start, piece = places[:, 0], places[:, 1], np.repeat(number, counts)
         least = np.full(len(numbers), np.iinfo(np.int64).max)
         np.minimum.at(least, piece, doc)
@@ -355,7 +358,7 @@ def _judged(n_buckets: int):
         before = np.concatenate(([0], np.cumsum([len(p) for p in numbers])[:-1]))
         kind = kinds(np.frombuffer(b"".join(numbers), dtype=np.uint8), before[piece[row]] + offset, size)
         spans = {"kinds": kind, "docs": doc[row], "starts": start[row] + offset}
-        return _table(_messages(_bucket_of(doc[row], n_buckets), True, spans))
+        return _released(_table(_messages(_bucket_of(doc[row], n_buckets), True, spans)))
 
     return run
 
@@ -374,7 +377,7 @@ def _merged(text: bytes, starts: list[int], of_kind: list[int], check: bool) ->
 
 
 def _cut(docs: pa.Table, rows: pa.Table) -> pa.Table:
-    kind, doc, start = (_read(rows[c].to_pylist(), c) for c in SPAN_KEYS)
+    kind, doc, start = (_read(rows, c) for c in SPAN_KEYS)
     order = np.lexsort((start, doc))
     kind, doc, start = kind[order], doc[order], start[order]
     several = {d for d, texts in _texts_of(docs).items() if len(texts) > 1}
@@ -432,14 +435,14 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     named = texts.filter("doc_id IS NOT NULL")
     asked = named.select("doc_id", "text").mapInArrow(_packed(n_ranges), MESSAGE)
-    told = keep(asked.groupBy("place").applyInPandas(_answers(n_buckets), MESSAGE), "told")
+    told = keep(asked.groupBy("place").applyInArrow(_answers(n_buckets), MESSAGE), "told")
     sure, open_ = told.filter("sure"), told.filter("NOT sure")
     n_open = open_.agg(F.sum(F.octet_length("docs"))).first()[0] or 0
     pieces = (
         named.groupBy("place").cogroup(open_.groupBy("place"))
         .applyInArrow(_pieces(n_open // 8 // COLLECTION + 1), "collection long, piece binary, places binary")
     )
-    judged = keep(pieces.groupBy("collection").applyInPandas(_judged(n_buckets), MESSAGE), "judged")
+    judged = keep(pieces.groupBy("collection").applyInArrow(_judged(n_buckets), MESSAGE), "judged")
     spans = sure.unionByName(judged).select("place", *SPAN_KEYS)
     return texts.groupBy("place").cogroup(spans.groupBy("place")).applyInArrow(
         _cut, "doc_id long, n_bytes long, spans array<array<long>>, kept binary"
