@@ -177,7 +177,8 @@ def _packed(n_ranges: int):
         sure, asks = _divided(*(np.concatenate(x) for x in zip(*held)))
         # Evenly, not by anchor: nothing is asked of these any more.
         spread = np.arange(len(sure[0])) * n_ranges // max(len(sure[0]), 1)
-        place = (asks[0] >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)
+        # By the low bits: an anchor is a least hash, so its high bits crowd near zero.
+        place = (asks[0] & np.uint64(0xFFFFFFFF)) * np.uint64(n_ranges) >> np.uint64(32)
         rows = _messages(spread, True, dict(zip(SPAN_KEYS, sure))) + _messages(place, False, dict(zip(COLUMNS, asks)))
         return _released(_table(rows).to_batches())
 
