@@ -9,6 +9,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from tidemark.operators import cumulate, evaluate
+from tidemark.plans import explore
 
 
 def scored(spark, seed=1, n=400, places=2):
@@ -209,3 +210,34 @@ def test_numbers_are_dense_per_group(spark):
     for g, n in (("x", 167), ("y", 333)):
         got = sorted(r["number"] for r in numbered.filter(F.col("g") == g).collect())
         assert got == list(range(n))
+
+
+def test_ranges_weigh_distinct_values(spark):
+    """With 95 % of the rows on one score, no range holds over twice its share of the scores."""
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 20 == 0, F.col("id") / 40_000).otherwise(F.lit(0.5)).alias("score")
+    )
+    edges = cumulate.range_edges(df, "score", 32)
+    sizes = cumulate.with_range(df.distinct(), "score", edges).groupBy("_range").count()
+    held = [r["count"] for r in sizes.collect()]
+    assert len(held) == 32 and max(held) <= 2 * sum(held) / 32
+
+
+def test_ranges_of_odd_values(spark):
+    schema = "score double"
+    assert cumulate.range_edges(spark.createDataFrame([], schema), "score", 8) == []
+    odd = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),), (-float("inf"),), (1.0,)], schema)
+    assert cumulate.range_edges(odd, "score", 8) in ([], [1.0])
+    counts = {r["score"]: r["cum_n"] for r in cumulate.running_totals(
+        odd.filter("score = 1.0 OR abs(score) = double('Infinity')").withColumn("n", F.lit(1)), "score", ["n"],
+        cumulate.range_edges(odd, "score", 8)).collect()}
+    assert counts == {-float("inf"): 1, 1.0: 2, float("inf"): 3}
+
+
+def test_shares_read_their_source_once(spark, tmp_path):
+    path = str(tmp_path / "levels")
+    spark.range(1000).selectExpr("cast(id % 7 as string) AS level").write.parquet(path)
+    shares = explore.value_counts(spark.read.parquet(path), "level", share=True)
+    assert sum(r["share"] for r in shares.collect()) == pytest.approx(1.0)
+    plan = shares._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 1

@@ -2,29 +2,42 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_RANGES = 4096
+# Values a range should hold at most, and the size of the sketch that cuts them: its rank error is far
+# below one in a thousand, its bytes are bounded whatever it has seen.
+RANGE_VALUES = 1_000_000
+SKETCH_SIZE = 16_384
+LEAST_RANGES = 1024
 
 
 def range_edges(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:
-    """Edges that cut the rows of ``column`` into about equal ranges.
+    """Edges that cut the *distinct* values of ``column`` into about equal ranges.
 
-    One map-side scan of one column.  The edges only decide which task handles
+    Running totals work on one row per value, so a value that most rows carry
+    weighs no more than any other.  The number of ranges follows from the number
+    of values.  Distinct values are found map-side and by one shuffle; only the
+    sketch and the edges reach the driver.  The edges decide which task handles
     a value; every value is kept whichever way they fall.
     """
+    spark = df.sparkSession
+    value = F.col(column).cast("double")
+    values = df.select(value.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v")).distinct()
+    n, sketch = values.agg(F.count("_v"), F.expr(f"kll_sketch_agg_double(_v, {SKETCH_SIZE})")).first()
     if ranges is None:
-        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(1, min(ranges, MAX_RANGES))
-    if ranges == 1:
+        ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // RANGE_VALUES))
+    ranges = min(ranges, n)
+    if ranges <= 1:
         return []
-    cuts = [i / ranges for i in range(1, ranges)]
-    found = df.select(F.percentile_approx(F.col(column).cast("double"), cuts, 4 * ranges)).first()[0]
-    return sorted(set(found or []))
+    ranks = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
+    held = spark.createDataFrame([(sketch,)], "sketch binary")
+    found = held.select(F.expr(f"kll_sketch_get_quantile_double(sketch, array({ranks}))")).first()[0]
+    return sorted({edge for edge in found if math.isfinite(edge)})
 
 
 def with_range(df: DataFrame, column: str, edges: Sequence[float], name: str = "_range") -> DataFrame:
@@ -62,7 +75,7 @@ def running_totals(
     """Inclusive running total ``cum_<col>`` of each column of ``sums`` in ``value`` order.
 
     ``df`` holds one row per (``by``, ``value``).  Each range is totalled, the
-    totals of the ranges (a few thousand rows at most per group) are summed up
+    totals of the ranges (one row for up to a million values) are summed up
     as offsets, and the running total inside a range is a window over that
     range alone.
     """
@@ -106,13 +119,16 @@ def quantiles(
     )
 
 
-def numbered(df: DataFrame, by: Sequence[str], key: Column, name: str = "number", ranges: int = 4096) -> DataFrame:
+def numbered(df: DataFrame, by: Sequence[str], key: Column, name: str = "number", ranges: int | None = None) -> DataFrame:
     """0-based row numbers within each group, in an order drawn from a hash of ``key``.
 
-    A group is cut into ranges of the hash; rows are numbered inside a range and
-    the sizes of the ranges before it are added.
+    A group is cut into ranges of the hash, as many as the number of rows asks
+    for; rows are numbered inside a range and the sizes of the ranges before it
+    are added.
     """
     by = list(by)
+    if ranges is None:
+        ranges = max(LEAST_RANGES, -(-df.count() // RANGE_VALUES))
     spread = df.withColumn("_hash", key).withColumn("_range", F.pmod(F.col("_hash"), F.lit(ranges)))
     sizes = spread.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

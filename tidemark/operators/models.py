@@ -162,7 +162,7 @@ def long_scores(model: Model, name: str, train: DataFrame, holdout: DataFrame) -
 def predicted_counts(scored: DataFrame) -> DataFrame:
     """Rows and share per predicted class."""
     counts = scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("count"))
-    return counts.withColumn("share", F.col("count") / scored.agg(F.count(F.lit(1))).scalar())
+    return counts.withColumn("share", F.col("count") / counts.agg(F.sum("count")).scalar())
 
 
 @dataclass

@@ -166,8 +166,8 @@ def value_counts(df: DataFrame, column: str, share: bool = False) -> DataFrame:
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
     if not share:
         return counts
-    total = df.agg(F.count(column)).scalar()
-    return counts.withColumn("share", F.col("count") / total)
+    # The total is that of the counts, so both sides share one shuffle and the source is read once.
+    return counts.withColumn("share", F.col("count") / counts.agg(F.sum("count")).scalar())
 
 
 def distinct_per(df: DataFrame, key: str | Sequence[str], value: str, name: str) -> DataFrame:
