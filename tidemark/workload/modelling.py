@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import discriminant, evaluate, gramian, models
+from tidemark.operators import discriminant, evaluate, gramian, models, staged
 from tidemark.plans import features
 from tidemark.session import stage_table
 from tidemark.workload.catalog import MAIN, main
@@ -352,25 +353,39 @@ def gaussian_parameters(m: Market) -> DataFrame:
         "label", F.round(F.exp(pick(pi)), 6).alias("prior"), F.round(pick(mean), 6).alias("mean"), F.round(pick(var), 4).alias("variance"))
 
 
-def report(model, name: str, data: DataFrame) -> DataFrame:
-    """Rows, AUC and cells of a model on a frame."""
-    scored = models.model_scores(model, data)
-    cells = evaluate.confusion(scored, 0.0 if "SVM" in name else 0.5)
-    return cells.withColumn("model", F.lit(name)).withColumn("auc", evaluate.auc(scored).scalar())
+def halves(data: DataFrame, *ids: str) -> tuple[DataFrame, DataFrame]:
+    """Four fifths of each class to fit on and one to hold out, read by many jobs."""
+    folded = stage_table(models.stratified_folds(data, ids, 5, seed=30), "folds")
+    return folded.filter("fold > 0"), folded.filter("fold = 0")
+
+
+def report(fitted: dict, train: DataFrame, holdout: DataFrame, cutoff: float = 0.5) -> DataFrame:
+    """Rows, AUC and cells of ``{name: model}`` on both parts, from one long frame that is scored once."""
+    long = [models.long_scores(model, name, train, holdout) for name, model in fitted.items()]
+    return cells_and_areas(reduce(DataFrame.unionByName, long), cutoff)
+
+
+def cells_and_areas(long: DataFrame, cutoff: float = 0.5) -> DataFrame:
+    scored, by = stage_table(long, "scores"), ["model", "split"]
+    return evaluate.confusion(scored, cutoff, by).join(evaluate.auc(scored, by), by)
+
+
+def weighted_halves(m: Market) -> tuple[DataFrame, DataFrame, int]:
+    """Both parts of the vectors, the first with balanced weights, and its number of rows."""
+    train, holdout = halves(vectors(m), "vec_id")
+    return models.balanced_weights(train), holdout, train.count()
 
 
 @REGISTRY.add()
 def logistic_variants(m: Market) -> DataFrame:
-    """Plain, ridge and lasso logistic regression, each unweighted and balanced, on all vectors."""
-    data = models.balanced_weights(vectors(m)).cache()
-    n = data.count()
-    out = None
-    for weighted in (False, True):
-        for name, strength, penalty in (("plain", 1e5, "l2"), ("ridge", 1.0, "l2"), ("lasso", 1.0, "l1")):
-            model = models.logistic(n, strength, penalty, weighted).fit(data)
-            part = report(model, f"{name}{'_balanced' if weighted else ''}", data)
-            out = part if out is None else out.unionByName(part)
-    return out
+    """Plain, ridge and lasso logistic regression, each unweighted and balanced, on train and holdout."""
+    train, holdout, n = weighted_halves(m)
+    fitted = {
+        f"{name}{'_balanced' if weighted else ''}": models.logistic(n, strength, penalty, weighted).fit(train)
+        for weighted in (False, True)
+        for name, strength, penalty in (("plain", 1e5, "l2"), ("ridge", 1.0, "l2"), ("lasso", 1.0, "l1"))
+    }
+    return report(fitted, train, holdout)
 
 
 @REGISTRY.add()
@@ -389,39 +404,42 @@ def naive_bayes_stack(m: Market) -> DataFrame:
 
 @REGISTRY.add()
 def random_forest_report(m: Market) -> DataFrame:
-    data = vectors(m)
-    return report(models.forest(20, 25, 5).fit(data), "forest", data)
+    train, holdout = halves(vectors(m), "vec_id")
+    return report({"forest": models.forest(100, 25, 5).fit(train)}, train, holdout)
 
 
 @REGISTRY.add()
 def boosting_report(m: Market) -> DataFrame:
-    data = vectors(m)
-    return report(models.boosting(10, 0.5, 3).fit(data), "boosting", data)
+    train, holdout = halves(vectors(m), "vec_id")
+    return report({"boosting": models.boosting(10, 0.5, 3).fit(train)}, train, holdout)
 
 
 @REGISTRY.add()
 def linear_svm_report(m: Market) -> DataFrame:
-    data = models.balanced_weights(vectors(m)).cache()
-    return report(models.linear_svm(data.count(), weighted=True).fit(data), "linear SVM", data)
+    """Linear SVM, plain and balanced."""
+    train, holdout, n = weighted_halves(m)
+    plain, balanced = (models.linear_svm(n, weighted=weighted).fit(train) for weighted in (False, True))
+    return report({"linear SVM": plain, "linear SVM, balanced": balanced}, train, holdout, cutoff=0.0)
 
 
 @REGISTRY.add()
 def radial_svm_report(m: Market) -> DataFrame:
-    data = models.balanced_weights(vectors(m)).cache()
-    return report(models.radial_svm(data.count(), 64).fit(data), "radial SVM", data)
+    train, holdout, n = weighted_halves(m)
+    return report({"radial SVM": models.radial_svm(n, 64).fit(train)}, train, holdout, cutoff=0.0)
 
 
 @REGISTRY.add()
 def discriminant_report(m: Market) -> DataFrame:
     """LDA, QDA and QDA on two components, on all vectors."""
-    data = vectors(m).cache()
-    flat = discriminant.projection(2).fit(data)
-    low = flat.transform(data).select("label", F.col("projected").alias("features"))
-    return (
-        report(discriminant.fit_lda(data), "LDA", data)
-        .unionByName(report(discriminant.fit_qda(data, reg_param=0.01), "QDA", data))
-        .unionByName(report(discriminant.fit_qda(low), "QDA on 2 components", low))
-    )
+    train, holdout = halves(vectors(m), "vec_id")
+    flat = discriminant.projection(2).fit(train)
+    low = [flat.transform(part).select("label", F.col("projected").alias("features")) for part in (train, holdout)]
+    long = [
+        models.long_scores(discriminant.fit_lda(train), "LDA", train, holdout),
+        models.long_scores(discriminant.fit_qda(train, reg_param=0.01), "QDA", train, holdout),
+        models.long_scores(discriminant.fit_qda(low[0]), "QDA on 2 components", *low),
+    ]
+    return cells_and_areas(reduce(DataFrame.unionByName, long))
 
 
 @REGISTRY.add()
@@ -435,13 +453,19 @@ def grid_search(m: Market) -> DataFrame:
 
 @REGISTRY.add()
 def refitted_settings(m: Market) -> DataFrame:
-    """Train and holdout AUC of every second setting of a forest grid."""
-    folded = models.stratified_folds(vectors(m), ["vec_id"], 5, seed=30).cache()
-    train, holdout = folded.filter("fold > 0"), folded.filter("fold = 0")
-    base = models.forest(5, "sqrt", 3)
-    grid = ParamGridBuilder().addGrid(base.maxDepth, [2, 3]).addGrid(base.minInstancesPerNode, [1, 50]).build()
-    result = models.cross_validated(base, train.withColumn("fold", F.col("fold") - 1), grid, k=4)
-    return evaluate.auc(models.refit_every(base, result, train, holdout, 2), ["model", "split"])
+    """All 36 settings of the forest grid by AUC on a validation fold, every fifth of them refitted.
+
+    18 fits give the 36 settings.  The refits see the validation fold too and are
+    scored on rows that no fit has seen.
+    """
+    train, holdout = halves(vectors(m), "vec_id")
+    scores = staged.staged_scores(models.forest, models.FOREST_GRID, train.filter("fold > 1"), train.filter("fold = 1"))
+    ranked = stage_table(staged.ranked_grid(scores), "ranked_settings")
+    again = staged.ranked_grid(staged.refitted(models.forest, models.FOREST_GRID, ranked, train, holdout))
+    again = again.select(
+        "model", F.col("train_auc").alias("refit_train_auc"), F.col("holdout_auc").alias("refit_holdout_auc")
+    )
+    return ranked.withColumnRenamed("holdout_auc", "validation_auc").join(again, "model", "left")
 
 
 @REGISTRY.add()
@@ -455,5 +479,6 @@ def top_coefficients(m: Market) -> DataFrame:
 
 @REGISTRY.add()
 def predicted_class_counts(m: Market) -> DataFrame:
-    data = vectors(m).cache()
-    return models.predicted_counts(models.logistic(data.count()).fit(data).transform(data))
+    """Rows per class that a model predicts for rows it was not fitted on."""
+    train, holdout = halves(vectors(m), "vec_id")
+    return models.predicted_counts(models.logistic(train.count()).fit(train).transform(holdout))
