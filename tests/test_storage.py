@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.schemas import EVENT_SCHEMA, LISTING_SCHEMA
-from tidemark.sources import tables, tolerant
+from tidemark.sources import raw, tables, tolerant
 
 
 def lines_of(spark, tmp_path, *lines):
@@ -46,6 +46,14 @@ def test_lines_that_are_no_object_are_kept_apart(spark, tmp_path):
     assert spark.read.schema(tolerant.QUARANTINE).parquet(f"{tmp_path}/quarantine").count() == 5
 
 
+def test_raw_days_take_less_room_than_their_text(spark, tmp_path):
+    objects = spark.range(2000).selectExpr("id", "'a name' AS name", "date'2018-09-08' AS snapshot_date")
+    raw.write_raw(objects, f"{tmp_path}/raw", "events")
+    text = sum(len(line) + 1 for line in objects.drop("snapshot_date").toJSON().collect())
+    assert 0 < sum(f.stat().st_size for f in tmp_path.rglob("part-*")) < text / 3
+    assert rows(raw.read_events_json(spark, f"{tmp_path}/raw"), "id", "name") == [(i, "a name") for i in sorted(range(2000), key=lambda i: repr((i, "a name")))]
+
+
 def test_a_batch_repeated_after_a_failure_is_there_once(spark, monkeypatch):
     text = StructType([StructField("a", StringType())])
     tables.create_schema(spark, "once")

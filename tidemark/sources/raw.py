@@ -34,4 +34,5 @@ def _read(spark: SparkSession, path: str, schema: StructType, dates) -> DataFram
 
 
 def write_raw(df: DataFrame, root: str, kind: str) -> None:
-    df.write.mode("append").partitionBy("snapshot_date").json(f"{root}/{kind}")
+    """Adds the objects to the folders of their days, compressed: the names of the fields come with every object."""
+    df.write.mode("append").option("compression", "gzip").partitionBy("snapshot_date").json(f"{root}/{kind}")
