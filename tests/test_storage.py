@@ -46,6 +46,14 @@ def test_lines_that_are_no_object_are_kept_apart(spark, tmp_path):
     assert spark.read.schema(tolerant.QUARANTINE).parquet(f"{tmp_path}/quarantine").count() == 5
 
 
+def test_a_line_is_parsed_once_and_cast_whole(spark, tmp_path):
+    good, bad = tolerant.read_tolerant(lines_of(spark, tmp_path, '{"id": 1}'), EVENT_SCHEMA, "id")
+    for frame in (good, bad):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson") == 1
+    assert good._jdf.queryExecution().optimizedPlan().toString().count("try_variant_get") <= 2
+
+
 def test_raw_days_take_less_room_than_their_text(spark, tmp_path):
     objects = spark.range(2000).selectExpr("id", "'a name' AS name", "date'2018-09-08' AS snapshot_date")
     raw.write_raw(objects, f"{tmp_path}/raw", "events")

@@ -1,8 +1,8 @@
 """Raw days whose objects miss fields, carry odd types, or are no JSON at all.
 
-Each line is parsed once into a variant; every field of the schema is then taken from it by itself. A field
-that is missing or can't be read as its type is NULL and costs nothing else of the object. Lines that are no
-object, or an object without its key, go to quarantine as they are, with the reason.
+Each line is parsed once into a variant, and one cast takes all fields of the schema from it. The cast goes part
+by part: a field that is missing or can't be read as its type is NULL and costs nothing else of the object.
+Lines that are no object, or an object without its key, go to quarantine as they are, with the reason.
 """
 
 from __future__ import annotations
@@ -12,18 +12,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, DateType, StructType
+from pyspark.sql.types import DateType, StructType
 
 QUARANTINE = "line string, reason string, snapshot_date date"
 
 
-def picked(value: Column, kind: DataType) -> Column:
-    """A variant as ``kind``, part by part: what does not fit is NULL, the rest stays."""
-    if isinstance(kind, StructType):
-        parts = [picked(F.try_variant_get(value, f"$.{f.name}", "variant"), f.dataType).alias(f.name) for f in kind.fields]
-        return F.when(F.try_variant_get(value, "$", "map<string,variant>").isNotNull(), F.struct(*parts))
-    if isinstance(kind, ArrayType):
-        return F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda part: picked(part, kind.elementType))
+def picked(value: Column, kind: StructType) -> Column:
+    """A variant as ``kind``, part by part: what does not fit is NULL, the rest stays; NULL for what is no object."""
     return F.try_variant_get(value, "$", kind.simpleString())
 
 
@@ -39,13 +34,14 @@ def read_tolerant(lines: DataFrame, schema: StructType, key: str) -> tuple[DataF
 
     ``key`` is the field no object can do without. Blank lines are neither. Both frames read ``lines``.
     """
-    parsed = lines.filter(F.trim("line") != "").withColumn("_v", F.try_parse_json("line"))
-    whole = F.try_variant_get("_v", "$", "map<string,variant>").isNotNull()
-    key_kind = schema[key].dataType.simpleString()
-    keyed = F.try_variant_get("_v", f"$.{key}", key_kind).isNotNull()
-    fields = [picked(F.try_variant_get("_v", f"$.{f.name}", "variant"), f.dataType).alias(f.name) for f in schema.fields]
-    good = parsed.filter(whole & keyed).select(*fields, "snapshot_date")
-    reason = F.when(F.col("_v").isNull(), "no JSON").when(~F.coalesce(whole, F.lit(False)), "no object").when(~keyed, "no key")
+    # As the one element of an array: a filter on a plain column would parse the line a second time.
+    value = F.explode(F.array(F.try_parse_json("line"))).alias("_v")
+    parsed = lines.filter(F.trim("line") != "").select("line", "snapshot_date", value)
+    # Tells objects and their key apart from the rest without reading the other fields.
+    keyed = picked(F.col("_v"), StructType([schema[key]]))
+    good = parsed.filter(keyed[key].isNotNull()).select(picked(F.col("_v"), schema).alias("_o"), "snapshot_date")
+    good = good.select("_o.*", "snapshot_date")
+    reason = F.when(F.col("_v").isNull(), "no JSON").when(keyed.isNull(), "no object").when(keyed[key].isNull(), "no key")
     bad = parsed.select("line", reason.alias("reason"), "snapshot_date").filter("reason IS NOT NULL")
     return good, bad
 
