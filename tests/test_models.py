@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from conftest import rows
@@ -7,7 +9,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tidemark.operators import discriminant, evaluate, models
-from tidemark.operators.random_features import RandomFourierFeatures
+from tidemark.operators.random_features import RandomFourierFeatures, lifted_rows
 
 
 @pytest.fixture(scope="module")
@@ -84,6 +86,17 @@ def test_random_features_approach_the_radial_kernel(spark, data, points):
     np.testing.assert_allclose(z @ z.T, np.exp(-0.2 * distance), atol=0.1)
 
 
+def test_random_features_of_a_batch_take_one_array():
+    rng = np.random.default_rng(5)
+    x, weights, shift = rng.normal(size=(10_000, 8)), rng.normal(size=(8, 64)), rng.uniform(size=64)
+    tracemalloc.start()
+    z = lifted_rows(x, weights, shift)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 1.2 * z.nbytes
+    np.testing.assert_array_equal(z, np.sqrt(2 / 64) * np.cos(x @ weights + shift))
+
+
 def test_radial_svm_solves_a_ring(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(400, 2))
