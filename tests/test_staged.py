@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -57,3 +59,21 @@ def test_grid_is_fitted_once_per_size(data, monkeypatch):
     assert {r["model"] for r in again.select("model").distinct().collect()} == {ranked[0]["model"], ranked[3]["model"]}
     alone = staged.staged_scores(models.forest, {"n_estimators": [1], "max_depth": [1]}, train, holdout.limit(0))
     assert alone.filter(F.col("split") == "holdout").count() == 0 and alone.count() == 200
+
+
+def test_fits_run_side_by_side(data):
+    grid = {"n_estimators": [1], "max_depth": [1, 2]}
+    together = threading.Barrier(2)
+
+    class Meeting:
+        def __init__(self, **setting):
+            self.forest = models.forest(**setting)
+
+        def fit(self, df):
+            together.wait(120)
+            return self.forest.fit(df)
+
+    names = [staged.setting_name(s) for s in staged.every_setting(grid)]
+    ranked = data.sparkSession.createDataFrame([(5 * i, name) for i, name in enumerate(names)], "rank int, model string")
+    for long in (staged.staged_scores(Meeting, grid, data, data), staged.refitted(Meeting, grid, ranked, data, data)):
+        assert {r["model"] for r in long.select("model").distinct().collect()} == set(names)
